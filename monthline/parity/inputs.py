@@ -178,9 +178,9 @@ def drift_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def baseline_log(spark: SparkSession, sf_dir: str, by=()) -> DataFrame:
+def baseline_log(early_and_late: DataFrame, by=()) -> DataFrame:
     """Stored baseline: the features before the cut date."""
-    early = features(spark, sf_dir).filter(F.col("ds") < F.lit(BASELINE_BEFORE).cast("date"))
+    early = early_and_late.filter(F.col("ds") < F.lit(BASELINE_BEFORE).cast("date"))
     return drift_baseline(early, by, NOW).withColumn("drift_id", F.lit(1).cast("long"))
 
 
@@ -345,6 +345,20 @@ FRAGMENTS = {
           avg(abs((y - yhat) / nullif(y, 0))) * 100 AS mape, count(*) AS n,
           count(*) FILTER (WHERE y = 0) AS zero_actuals
         FROM scored GROUP BY brand, state, n_train""",
+    "global_split": """
+        SELECT *, rn <= n * 4 // 5 AS is_train, (year(ds) - 2000) * 12 + month(ds) AS t
+        FROM (SELECT ds, sum(y) AS y, row_number() OVER (ORDER BY ds) AS rn, count(*) OVER () AS n
+              FROM features WHERE ds IS NOT NULL GROUP BY ds)""",
+    "global_trend": """
+        SELECT count(*) AS n_train, regr_slope(y, t) AS slope, regr_intercept(y, t) AS intercept
+        FROM global_split WHERE is_train""",
+    "global_season": """
+        SELECT m, ratio / avg(ratio) OVER () AS month_factor
+        FROM (SELECT month(ds) AS m, avg(y / (intercept + slope * t)) AS ratio
+              FROM global_split, global_trend WHERE is_train GROUP BY 1)""",
+    "global_scored": """
+        SELECT n_train, ds, y, (intercept + slope * t) * coalesce(month_factor, 1) AS yhat
+        FROM global_split CROSS JOIN global_trend LEFT JOIN global_season ON m = month(ds) WHERE NOT is_train""",
     "registry": """
         SELECT o_orderkey AS model_id, 'model_' || (o_custkey % 1000) AS model_name,
           'v' || o_orderkey AS model_version, 'TREND_SEASONAL' AS model_type, o_orderdate AS training_date,
@@ -413,6 +427,10 @@ NEEDS = {
     "season": ["trend"],
     "scored": ["season"],
     "metrics": ["scored"],
+    "global_split": ["features"],
+    "global_trend": ["global_split"],
+    "global_season": ["global_trend"],
+    "global_scored": ["global_season"],
     "registry": [],
     "pairs": ["registry"],
     "decisions": ["pairs"],

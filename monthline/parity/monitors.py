@@ -55,7 +55,8 @@ def rounded_drift(rows):
 
 @query("drift_check", sql_over("features", select=drift_sql("", "true")))
 def check(spark, sf):
-    return rounded_drift(drift_check(src.features(spark, sf), src.baseline_log(spark, sf), now=NOW))
+    features = src.features(spark, sf)
+    return rounded_drift(drift_check(features, src.baseline_log(features), now=NOW))
 
 
 @query(
@@ -68,8 +69,8 @@ def check(spark, sf):
     ),
 )
 def check_by_series(spark, sf):
-    log = src.baseline_log(spark, sf, SERIES)
-    return rounded_drift(drift_check(src.features(spark, sf), log, SERIES, now=NOW))
+    features = src.features(spark, sf)
+    return rounded_drift(drift_check(features, src.baseline_log(features, SERIES), SERIES, now=NOW))
 
 
 @query("model_health", sql_over("registry", select=HEALTH_SQL))
