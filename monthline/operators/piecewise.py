@@ -18,6 +18,8 @@ from monthline.operators.forecast import time_split, trend_month
 
 # Changepoints are placed in the first part of the train months.
 CHANGEPOINT_RANGE = 0.8
+# Trend and season are fitted in turn, each with the other held fixed.
+ROUNDS = 10
 
 
 def _ridge(design: np.ndarray, target: np.ndarray, penalties: np.ndarray) -> np.ndarray:
@@ -47,14 +49,16 @@ def _fit_one(pdf: pd.DataFrame, changepoints: int, order: int, ridge: float) ->
     knots = np.linspace(0.0, CHANGEPOINT_RANGE, count + 1)[1:]
 
     trend_x = _trend_design(t, knots)
-    trend_penalty = np.r_[1e-9, 1e-9, np.full(count, ridge)]
-    trend = trend_x @ _ridge(trend_x[train], y[train] / scale, trend_penalty)
-
     season_x = _season_design(month, min(order, 6))
-    safe = np.abs(trend) > 1e-9
-    used = train & safe
-    ratio = y[used] / scale / trend[used] - 1.0
-    season = season_x @ _ridge(season_x[used], ratio, np.full(season_x.shape[1], ridge * 1e-2))
+    trend_penalty = np.r_[1e-9, 1e-9, np.full(count, ridge)]
+    season_penalty = np.full(season_x.shape[1], ridge * 1e-2)
+    target = y[train] / scale
+    season = np.zeros_like(t)
+    for _ in range(ROUNDS):
+        weighted = trend_x[train] * (1.0 + season[train])[:, None]
+        trend = trend_x @ _ridge(weighted, target, trend_penalty)
+        weighted = season_x[train] * trend[train][:, None]
+        season = season_x @ _ridge(weighted, target - trend[train], season_penalty)
 
     return pdf.drop(columns="t").assign(yhat=trend * (1.0 + season) * scale)
 

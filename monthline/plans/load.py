@@ -56,10 +56,9 @@ def validate_batch(
 ) -> DataFrame:
     """Check one loaded batch and log the summary; only its own rows are read."""
     summary = validation_log_rows(validate(raw_sales(spark, layout, batch), batch, now=now))
-    # Variants cannot be sorted or shuffled by value, so the id is ordered by time alone.
     log = read_log(spark, layout.validation_log, schemas.VALIDATION_LOG)
     append_log(
-        with_log_id(summary, log, "log_id", ["validation_time"], batch).select(*schemas.VALIDATION_LOG.names),
+        with_log_id(summary, log, "log_id", ["validation_time"], batch, few=True).select(*schemas.VALIDATION_LOG.names),
         layout.validation_log,
         batch,
     )

@@ -75,6 +75,16 @@ def stored_registry(spark: SparkSession, layout: Layout) -> DataFrame:
     return current_registry(read_table(spark, layout.model_events, schemas.MODEL_EVENTS))
 
 
+def _decided(batch: str) -> str:
+    return f"{batch}-decided"
+
+
+def _events_before(spark: SparkSession, layout: Layout, batch: str) -> DataFrame:
+    """Registry events without the decisions an earlier attempt of this batch made."""
+    events = read_log(spark, layout.model_events, schemas.MODEL_EVENTS)
+    return events.filter(F.col(BATCH) != _decided(batch))
+
+
 def _version(now: datetime) -> str:
     return now.strftime("v%Y%m%d_%H%M%S")
 
@@ -101,7 +111,7 @@ def train_models(
         series = global_series(features).withColumn("model_name", F.lit(GLOBAL_MODEL))
     keys = ["model_name", *by]
     scored = freeze(score_holdout(freeze(series), keys))
-    events = read_log(spark, layout.model_events, schemas.MODEL_EVENTS)
+    events = _events_before(spark, layout, batch)
     rows = candidate_rows(error_metrics(scored, [*keys, "n_train"]), F.col("model_name"), version, now)
     candidates = with_log_id(rows, events, "model_id", ["model_name"], batch)
     append_log(registry_events(candidates, CANDIDATE_STEP, now), layout.model_events, batch)
@@ -120,15 +130,13 @@ def compare_and_promote(spark: SparkSession, layout: Layout, batch: str, now: da
     Events this batch already decided are left out, so a repeated attempt decides
     on the same registry as the first one.
     """
-    decided = f"{batch}-decided"
-    events = read_log(spark, layout.model_events, schemas.MODEL_EVENTS).filter(F.col(BATCH) != decided)
-    registry = freeze(current_registry(events))
+    registry = freeze(current_registry(_events_before(spark, layout, batch)))
     decisions = freeze(compare_models(registry, now=now))
     log = read_log(spark, layout.comparison_log, schemas.MODEL_COMPARISON_LOG)
     rows = with_log_id(comparison_log(decisions), log, "comparison_id", ["model_name"], batch)
     append_log(rows.select(*schemas.MODEL_COMPARISON_LOG.names), layout.comparison_log, batch)
     changes = freeze(registry_events(changed_rows(registry, decisions, now), DECISION_STEP, now))
-    append_log(changes, layout.model_events, decided)
+    append_log(changes, layout.model_events, _decided(batch))
 
 
 def check_drift(spark: SparkSession, layout: Layout, batch: str, now: datetime) -> None:
@@ -138,20 +146,22 @@ def check_drift(spark: SparkSession, layout: Layout, batch: str, now: datetime)
     known = log.filter(F.col("metric_name") == LEAD_METRIC).take(1)
     rows = drift_check(features, log, now=now) if known else drift_baseline(features, now=now)
     order = F.array_position(F.lit(fixed.DRIFT_METRICS), F.col("metric_name")).alias("_order")
-    numbered = with_log_id(rows.select("*", order), log, "drift_id", ["_order"], batch)
+    numbered = with_log_id(rows.select("*", order), log, "drift_id", ["_order"], batch, few=True)
     append_log(numbered.select(*schemas.DRIFT_METRICS.names), layout.drift_metrics, batch)
 
 
-def _log_run(spark: SparkSession, layout: Layout, record: DataFrame, batch: str) -> None:
+def _log_run(
+    spark: SparkSession, layout: Layout, record: DataFrame, batch: str, few: bool = True
+) -> None:
     log = read_log(spark, layout.runs, schemas.PIPELINE_RUNS)
-    rows = with_log_id(record, log, "run_id", ["run_time", "phase"], batch)
+    rows = with_log_id(record, log, "run_id", ["run_time", "phase"], batch, few)
     append_log(rows.select(*schemas.PIPELINE_RUNS.names), layout.runs, batch)
 
 
 def check_health(spark: SparkSession, layout: Layout, batch: str, now: datetime) -> DataFrame:
     """Age of the production models; one run-log row per model."""
     health = freeze(model_health(stored_registry(spark, layout), now))
-    _log_run(spark, layout, health_run(health, now), f"{batch}-health")
+    _log_run(spark, layout, health_run(health, now), f"{batch}-health", few=False)
     return health
 
 

@@ -11,11 +11,11 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from monthline import schemas
 from monthline.functions import fixed
-from monthline.operators.row_id import with_row_id
+from monthline.operators.row_id import nulls_last, with_row_id
 
 BATCH = "batch"
 
@@ -49,10 +49,20 @@ def append_log(df: DataFrame, path: str, batch: str | None = None) -> str:
     return batch
 
 
-def with_log_id(rows: DataFrame, log: DataFrame, id_column: str, order: Sequence[str], batch: str) -> DataFrame:
-    """Number new log rows after the largest id of all other batches."""
+def with_log_id(
+    rows: DataFrame, log: DataFrame, id_column: str, order: Sequence[str], batch: str, few: bool = False
+) -> DataFrame:
+    """Number new log rows after the largest id of all other batches.
+
+    ``few`` is for steps that write a fixed handful of rows, such as one run record:
+    those are numbered by a plain window instead of a range-partitioned one.
+    """
     last = log.filter(F.col(BATCH) != batch).agg(F.coalesce(F.max(id_column), F.lit(0)))
-    numbered = with_row_id(rows, order, id_column)
+    if few:
+        place = F.row_number().over(Window.orderBy(*nulls_last(order))).cast("long")
+        numbered = rows.withColumn(id_column, place)
+    else:
+        numbered = with_row_id(rows, order, id_column)
     return numbered.withColumn(id_column, F.col(id_column) + last.scalar())
 
 
