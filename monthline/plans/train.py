@@ -63,7 +63,8 @@ def monthly_totals(spark: SparkSession, layout: Layout) -> DataFrame:
 
 def refresh_features(spark: SparkSession, layout: Layout, now: datetime | None = None) -> int:
     """Rebuild the feature table and return its row count."""
-    replace_table(feature_store(monthly_totals(spark, layout), now=now), layout.feature_store)
+    store = feature_store(monthly_totals(spark, layout), now=now)
+    replace_table(store, layout.feature_store, settled=True)
     return stored_features(spark, layout).count()
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from monthline import schemas
 from monthline.functions import fixed
 from monthline.operators.row_id import nulls_last, with_row_id
+from monthline.session import freeze
 
 BATCH = "batch"
 
@@ -37,9 +38,18 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return read_table(spark, path, T.StructType(schema.fields + [T.StructField(BATCH, T.StringType())]))
 
 
-def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Rebuild a derived table. Spark refuses a plan that still reads from ``path``."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+def replace_table(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), settled: bool = False
+) -> None:
+    """Rebuild a derived table.
+
+    An overwrite deletes the old files before the new rows are computed, which
+    loses the table if the plan reads it or a task fails for good. The rows are
+    therefore frozen first; ``settled`` skips that for a plan that already starts
+    from frozen rows.
+    """
+    rows = df if settled else freeze(df)
+    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 def append_log(df: DataFrame, path: str, batch: str | None = None) -> str:

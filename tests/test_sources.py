@@ -1,0 +1,132 @@
+"""Sales files, tables and logs."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.errors import AnalysisException
+
+from conftest import ordered, rows_of
+from monthline import schemas
+from monthline.plans.layout import Layout
+from monthline.plans.load import raw_sales, rejected_lines, validate_and_load
+from monthline.sources.sales_csv import read_sales_csv, with_load_ts
+from monthline.sources.tables import append_log, read_log, read_table, replace_table, with_log_id
+
+HEADER = "group,description,state,location,month,fy,sales\n"
+FILES = {
+    "a.csv": HEADER
+    + 'B1,Prod,  CA  ,Loc,Apr-23,23-24,"1,234.50"\n'
+    + 'B2,"Prod, large", TX,Loc,May-23,23-24,7\n'
+    + "NULL,null,,Loc,Jun-23,23-24,8\n"
+    + "B3,short,line\n",
+    "b.csv": HEADER + "B4,P,NY,L,Jul-23,23-24,9,extra\n" + "B5,P,NY,L,Jul-23,23-24,10\n",
+    "empty.csv": HEADER,
+}
+
+
+@pytest.fixture
+def sales_dir(tmp_path):
+    folder = tmp_path / "sales"
+    folder.mkdir()
+    for name, content in FILES.items():
+        (folder / name).write_text(content)
+    return str(folder)
+
+
+def test_good_and_rejected_lines(spark, sales_dir):
+    good, bad = read_sales_csv(spark, sales_dir)
+    assert ordered(good, "material_group", "material_description", "sold_state", "net_sales", "source_file") == [
+        ("B1", "Prod", "CA", "1,234.50", "a.csv"),
+        ("B2", "Prod, large", "TX", "7", "a.csv"),
+        ("B5", "P", "NY", "10", "b.csv"),
+        (None, None, None, "8", "a.csv"),
+    ]
+    assert ordered(bad) == [("a.csv", "B3,short,line"), ("b.csv", "B4,P,NY,L,Jul-23,23-24,9,extra")]
+
+
+def test_counts_agree_whatever_is_selected(spark, sales_dir):
+    good, bad = read_sales_csv(spark, sales_dir)
+    assert (good.count(), bad.count()) == (4, 2)
+    assert good.select("net_sales").count() == 4
+    assert len(bad.select("rejected_line").collect()) == 2
+
+
+def test_other_null_tokens(spark, sales_dir):
+    good, _ = read_sales_csv(spark, sales_dir, null_tokens=("B1",))
+    assert good.filter("material_group is null").count() == 1
+    assert good.filter("material_group = 'NULL'").count() == 1
+
+
+def test_load_time(spark, sales_dir, now):
+    good, _ = read_sales_csv(spark, sales_dir)
+    assert {r.load_ts for r in with_load_ts(good, now).collect()} == {now}
+    assert with_load_ts(good).schema["load_ts"].dataType == schemas.RAW_SALES["load_ts"].dataType
+
+
+def test_missing_table_reads_as_empty(spark, folder):
+    assert read_table(spark, folder("none"), schemas.AGG_SALES).count() == 0
+    with pytest.raises(AnalysisException):
+        read_table(spark, folder("none"))
+
+
+def test_append_is_replay_safe(spark, folder):
+    df = spark.range(3).selectExpr("id run_id", "'p' phase")
+    schema = df.schema
+    append_log(df, folder("log"), "one")
+    append_log(df, folder("log"), "two")
+    append_log(df, folder("log"), "two")
+    log = read_log(spark, folder("log"), schema)
+    assert ordered(log.groupBy("batch").count()) == [("one", 3), ("two", 3)]
+    assert append_log(df, folder("log")) not in ("one", "two")
+
+
+def test_batch_names_stay_text(spark, folder):
+    df = spark.range(1)
+    append_log(df, folder("log"), "7")
+    assert rows_of(read_log(spark, folder("log"), df.schema)) == [(0, "7")]
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_log_ids_go_on_from_other_batches(spark, folder, few):
+    rows = spark.createDataFrame([("x",), ("y",)], "name string")
+    schema = spark.createDataFrame([], "name string, id long").schema
+    for batch in ("one", "two", "two"):
+        log = read_log(spark, folder("log"), schema)
+        append_log(with_log_id(rows, log, "id", ["name"], batch, few).select("name", "id"), folder("log"), batch)
+    stored = read_log(spark, folder("log"), schema).orderBy("id")
+    assert rows_of(stored, "id", "name", "batch") == [(1, "x", "one"), (2, "y", "one"), (3, "x", "two"), (4, "y", "two")]
+
+
+def test_a_table_can_be_rebuilt_from_itself(spark, folder):
+    replace_table(spark.range(5), folder("t"))
+    replace_table(read_table(spark, folder("t")).filter("id > 2"), folder("t"))
+    assert ordered(read_table(spark, folder("t"))) == [(3,), (4,)]
+
+
+def test_a_failing_rebuild_leaves_the_table(spark, folder):
+    replace_table(spark.range(5), folder("t"))
+    with pytest.raises(Exception, match="no luck"):
+        replace_table(spark.range(5).selectExpr("assert_true(id < 3, 'no luck') id"), folder("t"))
+    assert read_table(spark, folder("t")).count() == 5
+
+
+def test_validate_and_load(spark, sales_dir, folder, now):
+    row = validate_and_load(spark, sales_dir, folder("out"), "batch_1", now).first()
+    assert (row.log_id, row.batch_id, row.total_records, row.invalid_records) == (1, "batch_1", 4, 0)
+    assert row.validation_status == "PASSED"
+    layout = Layout(folder("out"))
+    assert raw_sales(spark, layout).count() == 4
+    assert ordered(rejected_lines(spark, layout), "source_file", "batch") == [("a.csv", "batch_1"), ("b.csv", "batch_1")]
+    again = validate_and_load(spark, sales_dir, folder("out"), "batch_2", now).first()
+    assert (again.log_id, again.total_records) == (2, 4)
+    assert raw_sales(spark, layout).count() == 8
+    assert raw_sales(spark, layout, "batch_2").count() == 4
+
+
+def test_landing_reads_only_the_wanted_side(spark, sales_dir, folder, now):
+    validate_and_load(spark, sales_dir, folder("out"), "batch_1", now)
+    plan = raw_sales(spark, Layout(folder("out")), "batch_1").select("month")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(outcome" in plan and "ReadSchema: struct<month:string>" in plan
+    assert set(os.listdir(folder("out") + "/raw/landing")) == {"batch=batch_1"}
