@@ -67,21 +67,21 @@ def drift_check(
 ) -> DataFrame:
     """Later checks: the mean of ``y`` against the baseline of the newest mean in the log.
 
-    With ``by`` every key is compared with its own baseline; keys without one
-    yield nothing and are due for ``drift_baseline``.
+    With ``by`` every key is compared with its own baseline. What has no baseline
+    yields nothing and is due for ``drift_baseline``.
     """
-    means = features.groupBy(*by).agg(
-        F.avg("y").alias("current_value"), F.count(F.lit(1)).alias("_rows")
-    ).filter("_rows > 0").drop("_rows")
+    means = (
+        features.groupBy(*by)
+        .agg(F.avg("y").alias("current_value"), F.count(F.lit(1)).alias("_rows"))
+        .filter("_rows > 0")
+    )
     baselines = (
         drift_log.filter(F.col("metric_name") == LEAD_METRIC)
         .groupBy(*by)
-        .agg(newest(F.col("baseline_value"), None, "check_date", "drift_id").alias("baseline_value"))
+        .agg(newest(F.struct("baseline_value"), None, "check_date", "drift_id").alias("_baseline"))
     )
-    if by:
-        paired = join_on_keys(means, baselines, by)
-    else:
-        paired = means.withColumn("baseline_value", baselines.scalar())
+    paired = join_on_keys(means, baselines, by) if by else means.withColumn("_baseline", baselines.scalar())
+    paired = paired.filter(F.col("_baseline").isNotNull()).select("*", "_baseline.baseline_value")
     score = drift_percent(F.col("current_value"), F.col("baseline_value"))
     labels = [(warn, fixed.DRIFT_LABELS[0][1]), (crit, fixed.DRIFT_LABELS[1][1])]
     return paired.withColumn("drift_score", score).select(

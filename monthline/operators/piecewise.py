@@ -24,7 +24,10 @@ ROUNDS = 10
 
 def _ridge(design: np.ndarray, target: np.ndarray, penalties: np.ndarray) -> np.ndarray:
     gram = design.T @ design + np.diag(penalties)
-    return np.linalg.lstsq(gram, design.T @ target, rcond=None)[0]
+    try:
+        return np.linalg.solve(gram, design.T @ target)
+    except np.linalg.LinAlgError:
+        return np.linalg.lstsq(gram, design.T @ target, rcond=None)[0]
 
 
 def _trend_design(t: np.ndarray, knots: np.ndarray) -> np.ndarray:
@@ -74,10 +77,14 @@ def fit_piecewise(
     """(keys, ds, y, is_train, yhat): fitted on the train part, forecast for all months.
 
     Monthly data cannot tell more than six yearly harmonics apart, so higher
-    orders are fitted as six.
+    orders are fitted as six. The series are few bytes but much arithmetic, so
+    they are dealt out to a fixed number of tasks, which adaptive execution does
+    not merge; window and fit both use that one shuffle.
     """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dated = df.select(*keys, "ds", "y").filter(F.col("ds").isNotNull() & F.col("y").isNotNull())
     split = (
-        time_split(df.select(*keys, "ds", "y").filter(F.col("ds").isNotNull() & F.col("y").isNotNull()), keys)
+        time_split(dated.repartition(tasks, *keys), keys)
         .filter(F.col("n_train") >= min_rows)
         .select(*keys, "ds", "y", "is_train", trend_month(F.col("ds")).alias("t"))
     )

@@ -67,16 +67,20 @@ def status_for(percent: Column, limit: float = fixed.MAX_ERROR_PERCENT) -> Colum
     return F.when(percent <= limit, F.lit("PASSED")).otherwise(F.lit("FAILED"))
 
 
-def validate(
-    raw: DataFrame,
+def total_counts(counts: DataFrame) -> DataFrame:
+    """Counts of several groups summed up; all zero when there are none."""
+    counters = ["total_records", "valid_records", *_findings()]
+    return counts.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counters])
+
+
+def summarise(
+    counts: DataFrame,
     batch_id: str,
-    by: str | Sequence[str] | None = None,
+    keys: Sequence[str] = (),
     max_error_pct: float = fixed.MAX_ERROR_PERCENT,
     now: datetime | None = None,
 ) -> DataFrame:
-    """One summary row for the batch, or one per value of ``by``."""
-    keys = [by] if isinstance(by, str) else list(by or ())
-    invalid = F.col("total_records") - F.col("valid_records")
+    """Counts to error rate, status and messages."""
     messages = F.array(
         *[
             F.when(F.col(name) > 0, F.concat(head, F.col(name).cast("string"), F.lit(tail)))
@@ -84,8 +88,7 @@ def validate(
         ]
     )
     return (
-        check_counts(raw, keys)
-        .withColumn("invalid_records", invalid)
+        counts.withColumn("invalid_records", F.col("total_records") - F.col("valid_records"))
         .withColumn("error_rate", error_percent(F.col("invalid_records"), F.col("total_records")))
         .select(
             *keys,
@@ -101,6 +104,18 @@ def validate(
     )
 
 
+def validate(
+    raw: DataFrame,
+    batch_id: str,
+    by: str | Sequence[str] | None = None,
+    max_error_pct: float = fixed.MAX_ERROR_PERCENT,
+    now: datetime | None = None,
+) -> DataFrame:
+    """One summary row for the batch, or one per value of ``by``."""
+    keys = [by] if isinstance(by, str) else list(by or ())
+    return summarise(check_counts(raw, keys), batch_id, keys, max_error_pct, now)
+
+
 def validation_log_rows(summary: DataFrame) -> DataFrame:
     """Summary rows in the layout of the validation log; messages become a JSON value."""
     return summary.select(

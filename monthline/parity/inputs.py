@@ -6,12 +6,13 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from monthline.functions import fixed
 from monthline.operators.features import agg_sales, clean_sales, feature_base, feature_history, feature_rows
 from monthline.operators.forecast import error_metrics, score_holdout
 from monthline.operators.monitoring import drift_baseline
 from monthline.operators.registry import compare_models
 from monthline.session import scratch_path
-from monthline.sources.tables import read_table
+from monthline.sources.tables import read_table, spread
 
 NOW = datetime(2001, 8, 15, 8, 30)
 BASELINE_BEFORE = "2018-07-01"
@@ -24,9 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their part, supplier and nation."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"
+    )
     return (
-        table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
+        spread(lines)
         .join(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand"), "l_partkey")
         .join(
             table(spark, sf_dir, "supplier").select(
@@ -41,8 +44,8 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keyed_raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales text rows with dirt in fixed places, plus the order key ``k``."""
     k = F.col("k")
-    shipped = F.expr("l_shipdate + interval 20 years")
-    year, month = F.year(shipped), F.month(shipped)
+    year, month = F.year("l_shipdate") + 20, F.month("l_shipdate")
+    month_name = F.elt(month, *[F.lit(name.capitalize()) for name in fixed.MONTH_TOKENS])
 
     def two_digits(value):
         return F.lpad((value % 100).cast("string"), 2, "0")
@@ -63,7 +66,7 @@ def keyed_raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("s_name").alias("supply_location"),
             F.when(k % 83 == 0, "2024/05")
             .when(k % 79 == 0, null)
-            .otherwise(F.date_format(shipped, "MMM-yy"))
+            .otherwise(F.concat(month_name, F.lit("-"), two_digits(year)))
             .alias("month"),
             F.when(k % 73 == 0, "2023-24")
             .when(k % 71 == 0, null)

@@ -6,7 +6,16 @@ from pyspark.sql import functions as F
 
 from monthline.functions import fixed
 from monthline.functions.text import null_if_token
-from monthline.operators.validation import apply_rules, flag_rows, quarantine, rule_failure, validate
+from monthline.operators.validation import (
+    apply_rules,
+    check_counts,
+    flag_rows,
+    quarantine,
+    rule_failure,
+    summarise,
+    total_counts,
+    validate,
+)
 from monthline.parity import inputs as src
 from monthline.parity.catalog import query
 from monthline.parity.inputs import NOW, sql_over
@@ -60,7 +69,7 @@ def validate_row_flags(spark, sf):
 )
 def validate_batch_summary(spark, sf):
     """Per file, and the whole table summed up from the files."""
-    raw = src.raw_sales(spark, sf)
+    counts = check_counts(src.raw_sales(spark, sf), ["source_file"])
     columns = [
         "total_records",
         "valid_records",
@@ -68,8 +77,8 @@ def validate_batch_summary(spark, sf):
         F.round("error_rate", 4).alias("error_rate"),
         "validation_status",
     ]
-    whole = validate(raw, "all", now=NOW).select(F.lit("ALL").alias("scope"), *columns)
-    per_file = validate(raw, "all", by="source_file", now=NOW).select(
+    whole = summarise(total_counts(counts), "all", now=NOW).select(F.lit("ALL").alias("scope"), *columns)
+    per_file = summarise(counts, "all", ["source_file"], now=NOW).select(
         F.col("source_file").alias("scope"), *columns
     )
     return whole.unionByName(per_file)

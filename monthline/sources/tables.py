@@ -33,6 +33,17 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
         return spark.createDataFrame([], schema)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a scan with far fewer tasks than cores.
+
+    A small file often holds a single row group, which one task reads alone.
+    Inputs with at least half as many tasks as cores are returned as they are, so
+    no large table is shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores // 2 else df
+
+
 def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Scan an append log together with the batch each row came from."""
     return read_table(spark, path, T.StructType(schema.fields + [T.StructField(BATCH, T.StringType())]))

@@ -65,6 +65,12 @@ def test_newest_mean_gives_the_baseline(spark):
     assert (row.baseline_value, row.drift_score) == (100.0, 0.0)
 
 
+def test_no_baseline_no_row(spark):
+    other = drift_log(spark, [(1, "Y_MAX", 1.0, 0, "BASELINE")])
+    assert mo.drift_check(features(spark, [1]), other).count() == 0
+    assert mo.drift_check(features(spark, [1]), other, ["brand"]).count() == 0
+
+
 def test_no_features_no_row(spark):
     log = drift_log(spark, [(1, "Y_MEAN", 1.0, 0, "BASELINE")])
     assert mo.drift_check(features(spark, []), log).count() == 0

@@ -9,7 +9,16 @@ import pytest
 from conftest import ordered, rows_of
 from monthline import schemas
 from monthline.functions import fixed
-from monthline.operators.validation import apply_rules, flag_rows, quarantine, validate, validation_log_rows
+from monthline.operators.validation import (
+    apply_rules,
+    check_counts,
+    flag_rows,
+    quarantine,
+    summarise,
+    total_counts,
+    validate,
+    validation_log_rows,
+)
 from monthline.sources.tables import load_rules, read_table, rules_frame
 
 GOOD = ("b1", "p", "s", "l", "Apr-23", "23-24", "1,000.50")
@@ -92,6 +101,14 @@ def test_summary_per_file(spark):
     assert got == [("a.csv", 1, 0, "PASSED"), ("b.csv", 2, 1, "FAILED")]
 
 
+def test_totals_of_files_equal_the_whole(spark, now):
+    rows = [(*GOOD, "a.csv", None), (*change(fy="x"), "b.csv", None), (*change(month=None), "b.csv", None)]
+    df = spark.createDataFrame(rows, schemas.RAW_SALES)
+    for part in (df, df.limit(0)):
+        summed = summarise(total_counts(check_counts(part, ["source_file"])), "b", now=now)
+        assert rows_of(summed) == rows_of(validate(part, "b", now=now))
+
+
 def test_error_details_survive_storage_as_variant(spark, folder, now):
     rows = validation_log_rows(validate(raw(spark, [change(fy=None)]), "b", now=now))
     rows.write.parquet(folder("log"))
