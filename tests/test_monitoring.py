@@ -68,7 +68,8 @@ def test_newest_mean_gives_the_baseline(spark):
 def test_no_baseline_no_row(spark):
     other = drift_log(spark, [(1, "Y_MAX", 1.0, 0, "BASELINE")])
     assert mo.drift_check(features(spark, [1]), other).count() == 0
-    assert mo.drift_check(features(spark, [1]), other, ["brand"]).count() == 0
+    by_brand = other.withColumn("brand", F.lit("b"))
+    assert mo.drift_check(features(spark, [1]), by_brand, ["brand"]).count() == 0
 
 
 def test_no_features_no_row(spark):

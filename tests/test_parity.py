@@ -17,32 +17,20 @@ from tools.check_parity import compare, connect
 COMPOSED = [
     "csv_scan",
     "csv_reject_split",
-    "source_file_lineage",
     "validate_row_flags",
     "validate_batch_summary",
-    "validate_error_details",
     "validation_rule_engine",
     "quarantine_split",
-    "clean_sales",
     "agg_sales",
-    "feature_base",
     "feature_store",
-    "scalable_row_id",
     "incremental_agg",
-    "fit_trend",
     "fit_month_seasonality",
-    "forecast",
     "backtest_metrics",
     "align_forecast_actual",
-    "log_predictions",
     "compare_models",
     "apply_promotion",
-    "append_log",
-    "drift_baseline",
     "drift_check_by_series",
-    "model_health",
     "metric_summary",
-    "dash_comparison_history",
     "full_run_model",
 ]
 
