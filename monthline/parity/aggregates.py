@@ -13,9 +13,9 @@ from monthline.operators.row_id import with_row_id
 from monthline.operators.validation import check_counts, flag_rows
 from monthline.parity import inputs as src
 from monthline.parity.catalog import query
-from monthline.parity.inputs import sql_over
+from monthline.parity.inputs import near, near_sql, sql_over
 
-ROUNDED_STATS = """round(avg(y), 4) AS y_mean, round(stddev_samp(y), 4) AS y_std, min(y) AS y_min,
+ROUNDED_STATS = f"""{near_sql("avg(y)")} AS y_mean, {near_sql("stddev_samp(y)")} AS y_std, min(y) AS y_min,
   max(y) AS y_max, count(*) AS record_count"""
 
 SUMMARY_SQL = sql_over(
@@ -36,7 +36,7 @@ SUMMARY_SQL = sql_over(
 
 
 def rounded_stats(stats):
-    return stats.withColumns({"y_mean": F.round("y_mean", 4), "y_std": F.round("y_std", 4)})
+    return stats.withColumns({c: near(c) for c in ("y_mean", "y_std")})
 
 
 def summary(spark, sf):
@@ -118,17 +118,17 @@ def agg_invalid_union(spark, sf):
     "agg_error_metrics",
     sql_over(
         "history",
-        select="""
-        SELECT brand, state, round(avg(abs(y - lag_1)), 3) AS mae,
-          round(sqrt(avg((y - lag_1) * (y - lag_1))), 3) AS rmse,
-          round(avg(abs((y - lag_1) / nullif(y, 0))) * 100, 3) AS mape, count(*) AS n,
+        select=f"""
+        SELECT brand, state, {near_sql("avg(abs(y - lag_1))", 3)} AS mae,
+          {near_sql("sqrt(avg((y - lag_1) * (y - lag_1)))", 3)} AS rmse,
+          {near_sql("avg(abs((y - lag_1) / nullif(y, 0))) * 100", 3)} AS mape, count(*) AS n,
           count(*) FILTER (WHERE y = 0) AS zero_actuals
         FROM history WHERE lag_1 IS NOT NULL GROUP BY brand, state""",
     ),
 )
 def agg_error_metrics(spark, sf):
     naive = src.history(spark, sf).filter("lag_1 is not null").withColumn("yhat", F.col("lag_1"))
-    return error_metrics(naive, SERIES).withColumns({c: F.round(c, 3) for c in ("mae", "rmse", "mape")})
+    return error_metrics(naive, SERIES).withColumns({c: near(c, 3) for c in ("mae", "rmse", "mape")})
 
 
 @query(

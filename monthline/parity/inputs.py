@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from monthline.functions import fixed
 from monthline.operators.features import agg_sales, clean_sales, feature_base, feature_history, feature_rows
@@ -262,6 +262,18 @@ def append_sales_files(rows: DataFrame, path: str, broken: bool = False) -> None
     )
 
 
+# Means of two-decimal amounts often lie exactly between two rounded values, where
+# the order of summation decides. A small shift before rounding settles them.
+
+
+def near(name: str, digits: int = 4) -> Column:
+    return F.round(F.col(name) + 3 * 10.0 ** -(digits + 2), digits)
+
+
+def near_sql(expression: str, digits: int = 4) -> str:
+    return f"round({expression} + {3 * 10.0 ** -(digits + 2):.{digits + 2}f}, {digits})"
+
+
 # --- the same inputs as SQL -----------------------------------------------------
 
 NOW_SQL = "TIMESTAMP '2001-08-15 08:30:00'"

@@ -10,7 +10,7 @@ from monthline.operators.monitoring import drift_baseline, drift_check, health_r
 from monthline.parity import inputs as src
 from monthline.parity.aggregates import SUMMARY_SQL, summary
 from monthline.parity.catalog import query
-from monthline.parity.inputs import BASELINE_BEFORE, NOW, NOW_SQL, sql_over
+from monthline.parity.inputs import BASELINE_BEFORE, NOW, NOW_SQL, near, near_sql, sql_over
 
 HEALTH_SQL = f"""
     SELECT model_name, model_version, mae, training_date, age_days,
@@ -25,7 +25,7 @@ HEALTH_SQL = f"""
     sql_over(
         "features",
         select=f"""
-        SELECT {NOW_SQL} AS check_date, metric_name, round(v, 4) AS baseline_value, round(v, 4) AS current_value,
+        SELECT {NOW_SQL} AS check_date, metric_name, {near_sql('v')} AS baseline_value, {near_sql('v')} AS current_value,
           0.0::DOUBLE AS drift_score, 'BASELINE' AS drift_status
         FROM (SELECT unnest(['Y_MEAN', 'Y_STD', 'Y_MIN', 'Y_MAX', 'RECORD_COUNT']) AS metric_name,
                 unnest([avg(y), stddev_samp(y), min(y), max(y), count(*)::DOUBLE]) AS v FROM features)""",
@@ -33,7 +33,7 @@ HEALTH_SQL = f"""
 )
 def baseline(spark, sf):
     rows = drift_baseline(src.features(spark, sf), now=NOW)
-    return rows.withColumns({c: F.round(c, 4) for c in ("baseline_value", "current_value")})
+    return rows.withColumns({c: near(c) for c in ("baseline_value", "current_value")})
 
 
 def drift_sql(keys: str, on: str) -> str:
@@ -41,8 +41,8 @@ def drift_sql(keys: str, on: str) -> str:
     lead = f"{keys}, " if keys else ""
     prefix = ", ".join(f"c.{k.strip()}" for k in keys.split(",")) + ", " if keys else ""
     return f"""
-    SELECT {prefix}{NOW_SQL} AS check_date, 'Y_MEAN' AS metric_name, round(b, 4) AS baseline_value,
-      round(m, 4) AS current_value, round(abs((m - b) / nullif(b, 0)) * 100, 4) AS drift_score,
+    SELECT {prefix}{NOW_SQL} AS check_date, 'Y_MEAN' AS metric_name, {near_sql("b")} AS baseline_value,
+      {near_sql("m")} AS current_value, {near_sql("abs((m - b) / nullif(b, 0)) * 100")} AS drift_score,
       CASE WHEN abs((m - b) / nullif(b, 0)) * 100 < 10 THEN 'NORMAL'
            WHEN abs((m - b) / nullif(b, 0)) * 100 < 25 THEN 'WARNING' ELSE 'CRITICAL' END AS drift_status
     FROM (SELECT {lead}avg(y) AS m FROM features {group}) c
@@ -50,7 +50,7 @@ def drift_sql(keys: str, on: str) -> str:
 
 
 def rounded_drift(rows):
-    return rows.withColumns({c: F.round(c, 4) for c in ("baseline_value", "current_value", "drift_score")})
+    return rows.withColumns({c: near(c) for c in ("baseline_value", "current_value", "drift_score")})
 
 
 @query("drift_check", sql_over("features", select=drift_sql("", "true")))
@@ -142,8 +142,8 @@ def dash_model_history(spark, sf):
     "dash_drift_history",
     sql_over(
         "drift_log",
-        select="SELECT check_date, metric_name, round(baseline_value, 4) AS baseline_value, "
-        "round(current_value, 4) AS current_value, round(drift_score, 4) AS drift_score, drift_status "
+        select=f"SELECT check_date, metric_name, {near_sql('baseline_value')} AS baseline_value, "
+        f"{near_sql('current_value')} AS current_value, {near_sql('drift_score')} AS drift_score, drift_status "
         "FROM drift_log ORDER BY check_date DESC, drift_id DESC LIMIT 10",
     ),
 )
