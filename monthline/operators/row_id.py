@@ -16,6 +16,12 @@ def nulls_last(columns: Sequence[str]) -> list[Column]:
     return [F.col(name).asc_nulls_last() for name in columns]
 
 
+def _hashable(df: DataFrame) -> list[str]:
+    """Columns that have a hash: all but maps and variants, also nested ones."""
+    kinds = {field.name: field.dataType.simpleString() for field in df.schema}
+    return [name for name, kind in kinds.items() if "map<" not in kind and "variant" not in kind]
+
+
 def with_row_id(
     df: DataFrame,
     order_cols: Sequence[str],
@@ -28,11 +34,19 @@ def with_row_id(
     a row within its partition is frozen with the data: the sampled range bounds
     may differ when a partition is computed again. Only one count per partition
     is then summed up and broadcast, so its size is the number of partitions.
+
+    Rows that agree in ``order_cols`` are told apart by their other columns, and
+    full copies by the task they come from. A value or a copy that makes up a
+    large part of the rows is therefore spread over many partitions, and a retried
+    task sends each row where it went before.
     """
-    order = nulls_last(order_cols)
-    spread = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    order = [*nulls_last(order_cols), F.col("_tie"), F.col("_origin")]
+    tied = df.withColumns({"_tie": F.xxhash64(*_hashable(df)), "_origin": F.spark_partition_id()})
+    spread = tied.repartitionByRange(partitions, *order) if partitions else tied.repartitionByRange(*order)
     placed = freeze(
-        spread.sortWithinPartitions(*order).withColumn("_slot", F.monotonically_increasing_id())
+        spread.sortWithinPartitions(*order)
+        .drop("_tie", "_origin")
+        .withColumn("_slot", F.monotonically_increasing_id())
     )
     bucket = F.shiftright("_slot", _PLACE_BITS).alias("_bucket")
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -144,6 +144,20 @@ def test_row_id_with_equal_keys_is_dense(spark):
     assert [k for _, k in got] == sorted(k for _, k in got)
 
 
+def test_copies_of_one_row_are_spread(spark):
+    df = spark.range(0, 8000, 1, 8).select(F.lit("hot").alias("k"))
+    numbered = with_row_id(df, ["k"], "n", 8)
+    sizes = [c for _, c in rows_of(numbered.groupBy(F.spark_partition_id().alias("p")).count())]
+    assert sum(sizes) == 8000 and max(sizes) <= 4000
+    assert numbered.agg(F.countDistinct("n"), F.max("n")).first()[:] == (8000, 8000)
+
+
+def test_one_hot_value_is_spread(spark):
+    df = spark.range(0, 8000, 1, 8).select(F.lit(1).alias("k"), "id")
+    sizes = [c for _, c in rows_of(with_row_id(df, ["k"], "n", 8).groupBy(F.spark_partition_id().alias("p")).count())]
+    assert len(sizes) == 8 and max(sizes) < 2000
+
+
 def test_row_id_of_nothing(spark):
     assert with_row_id(spark.range(0), ["id"], "n").count() == 0
 
