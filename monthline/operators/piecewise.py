@@ -7,15 +7,20 @@ most a few hundred months and is fitted by one small least-squares solve.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from monthline.functions import fixed
 from monthline.operators.forecast import time_split, trend_month
 
+# The fit travels with the job, so executors need numpy and pandas but not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Changepoints are placed in the first part of the train months.
 CHANGEPOINT_RANGE = 0.8
 # Trend and season are fitted in turn, each with the other held fixed.

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from monthline.functions import fixed
 from monthline.operators.latest import latest
 from monthline.operators.monitoring import LEAD_METRIC
 from monthline.operators.registry import production_info
