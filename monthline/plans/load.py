@@ -38,8 +38,12 @@ def land(lines: DataFrame, layout: Layout, batch: str, now: datetime | None = No
 
 
 def _landing(spark: SparkSession, layout: Layout, outcome: str, batch: str | None) -> DataFrame:
-    rows = read_table(spark, layout.landing, _LANDING).filter(F.col(OUTCOME) == outcome)
-    return rows if batch is None else rows.filter(F.col(BATCH) == batch)
+    """One side of the landed lines; for a single batch only its own folder is listed."""
+    if batch is None:
+        rows = read_table(spark, layout.landing, _LANDING)
+    else:
+        rows = read_table(spark, f"{layout.landing}/{BATCH}={batch}", _LANDING, layout.landing)
+    return rows.filter(F.col(OUTCOME) == outcome)
 
 
 def raw_sales(spark: SparkSession, layout: Layout, batch: str | None = None) -> DataFrame:

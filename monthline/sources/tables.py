@@ -21,12 +21,21 @@ from monthline.session import freeze
 BATCH = "batch"
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Scan a table; with a schema, a table nobody wrote yet reads as empty."""
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, base: str | None = None
+) -> DataFrame:
+    """Scan a table; with a schema, a table nobody wrote yet reads as empty.
+
+    ``base`` names the table when ``path`` is one of its partition folders: only
+    that folder is listed, however many others there are.
+    """
     if schema is None:
         return spark.read.parquet(path)
+    reader = spark.read.schema(schema)
+    if base:
+        reader = reader.option("basePath", base)
     try:
-        return spark.read.schema(schema).parquet(path)
+        return reader.parquet(path)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
