@@ -14,10 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from llm import minhash, mixing, sharding, tiling  # noqa: E402
+from llm import minhash, mixing, sharding, tiling, toxicity  # noqa: E402
 from llm.common import stored, table  # noqa: E402
 
 
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the clause grammar scores as toxic go."""
+    model = toxicity.trained(docs, table(spark, sf_dir, "labels"))
+    return toxicity.reject(docs, model)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five-word shingles, similarity 0.8) the smallest doc_id stays."""
     return minhash.deduplicate(docs, percent=80)
@@ -39,6 +45,7 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", toxic),
     ("near_duplicates", near_duplicates),
     ("benchmark", benchmark),
     ("mixture", mixture),

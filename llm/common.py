@@ -61,3 +61,9 @@ def worker_memory() -> dict:
     if name not in sys.modules:
         sys.modules[name] = types.ModuleType(name)
     return sys.modules[name].__dict__.setdefault("kept", {})
+
+
+def clear_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, label): one row per key whose labels are not null and agree."""
+    known = labels.where("doc_id is not null and label is not null")
+    return known.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most").drop("most")

@@ -4,31 +4,67 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import minhash, mixing, sharding, tiling
+from llm import langid, lm, minhash, mixing, quality, sharding, tiling, token_ids, topk, toxicity
 from llm.common import table
+from monthline.session import scratch_path
 
 
 def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op2_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op3_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = scratch_path(spark, "token-ids")
+    token_ids.write(table(spark, sf_dir, "documents"), target)
+    return token_ids.read(spark, target)
+
+
+def op6_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
+def op7_bound_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op8_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_clause_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 SPARK = {
-    "op1_source_mix": op1_source_mix,
-    "op4_sharding": op4_sharding,
-    "op8_string_tiling": op8_string_tiling,
-    "op10_minhash_dedup": op10_minhash_dedup,
+    query.__name__: query
+    for query in (
+        op1_source_mix,
+        op2_compression_language,
+        op3_rule_quality,
+        op4_sharding,
+        op5_token_files,
+        op6_context_mixing,
+        op7_bound_topk,
+        op8_string_tiling,
+        op9_clause_toxicity,
+        op10_minhash_dedup,
+    )
 }
 
-SQL = {"op1_source_mix": mixing.SQL}
+SQL = {"op1_source_mix": mixing.SQL, "op7_bound_topk": topk.SQL}
