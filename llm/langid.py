@@ -1,8 +1,8 @@
 """Language identification by compression.
 
 For each language a raw-content zstandard dictionary is filled with whole texts
-of that language. A text is cut into pieces, all of its pieces are compressed
-with each dictionary, and the language with the smallest total is chosen. When
+of that language. A text's words, without signs and digits, are cut into pieces, all of
+them are compressed with each dictionary, and the language with the smallest total is chosen. When
 the runner-up is nearly as small the choice is marked as rejected.
 
 What is learned is bounded: at most ``CANDIDATES`` texts per language, chosen by a
@@ -31,16 +31,23 @@ FOLDS, HELD_OUT = 3, 1
 DICTIONARY = 96 << 10
 CANDIDATES = 128
 PIECE = 2048
-LEVEL = 3
+LEVEL = 9
 #: A choice is rejected when the runner-up is less than this share larger.
 MARGIN = 0.01
 #: Steepness of the score over the relative difference of the sizes.
 STEEPNESS = 60.0
 UNKNOWN = "und"
+#: ASCII characters other than letters become blanks, which are then joined.
+_PLAIN = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
+
+
+def plain(text: str) -> bytes:
+    """The lower-cased words of a text, without ASCII signs and digits."""
+    return b" " + b" ".join(text.lower().encode().translate(_PLAIN).split()) + b" "
 
 
 def samples(docs: DataFrame, candidates: int = CANDIDATES, size: int = DICTIONARY) -> dict[str, bytes]:
-    """Lower-cased whole texts of each language, joined up to ``size`` bytes.
+    """The words of whole texts of each language, joined up to ``size`` bytes.
 
     Candidates are ranked inside every task before the shuffle, so a language
     with most of the rows sends no more than ``candidates`` keys per task.
@@ -53,15 +60,15 @@ def samples(docs: DataFrame, candidates: int = CANDIDATES, size: int = DICTIONAR
     rows = usable.join(F.broadcast(keys), ["doc_id", "lang"]).select("lang", "n", "doc_id", "text").collect()
     by_lang = defaultdict(list)
     for row in sorted(rows, key=lambda r: (r["lang"], r["n"], r["text"])):
-        by_lang[row["lang"]].append(row["text"].lower().encode())
+        by_lang[row["lang"]].append(plain(row["text"]))
     filled = {}
     for lang, texts in by_lang.items():
         content, used = [], 0
         for text in dict.fromkeys(texts):
             if used + len(text) < size:
                 content.append(text)
-                used += len(text) + 1
-        filled[lang] = b"\n".join(content)
+                used += len(text)
+        filled[lang] = b"".join(content)
     return {lang: content for lang, content in filled.items() if content}
 
 
@@ -78,7 +85,7 @@ def choose(text: str | None, models: list[tuple[str, zstandard.ZstdCompressor]],
     """(language, score, rejected) of one whole text."""
     if not text or not models or not any(map(str.isalpha, text)):
         return UNKNOWN, 0.0, True
-    data = text.lower().encode()
+    data = plain(text)
     pieces = [data[k : k + piece] for k in range(0, len(data), piece)]
     sizes = []
     for lang, model in models:

@@ -26,6 +26,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from zlib import crc32
 
 import ahocorasick
 import numpy as np
@@ -40,8 +41,8 @@ THRESHOLD = 0.5
 FOLDS, HELD_OUT = 5, 0
 #: Lengths of the word beginnings that may become entries.
 STEMS = (4, 5, 6)
-#: Evidence (natural logarithm of the odds against chance) and weight that an entry needs.
-EVIDENCE, LEAST_WEIGHT = 18.0, 2.5
+#: Evidence (natural logarithm of the odds against chance) and share of toxic texts that an entry needs.
+EVIDENCE, LEAST_SHARE = 18.0, 0.8
 ENTRIES = 2_000
 
 INSULTS = "idiot idiots moron morons stupid loser losers scum pathetic worthless trash disgusting clown imbecile fool dumb bastard jerk creep vermin filth".split()
@@ -179,45 +180,78 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, a + b * features[0] + c * features[1]))))
 
 
-def _entries(text: str | None) -> set[str]:
-    words = set(_WORD.findall((text or "").lower()))
-    return words.union(*({w[:n] + "*" for w in words if len(w) > n} for n in STEMS))
+def _entries(text: str | None) -> dict[str, int]:
+    """The entries of a text, each with a bit (of 64) for the word before its first place."""
+    words = _WORD.findall((text or "").lower())
+    found: dict[str, int] = {}
+    for before, word in zip(["", *words], words, strict=False):
+        if word not in found:
+            bit = 1 << (crc32(before.encode()) % 64)
+            found[word] = bit
+            for n in STEMS:
+                if len(word) > n:
+                    found.setdefault(word[:n] + "*", bit)
+    return found
 
 
 def _counts(labelled: DataFrame) -> DataFrame:
-    """(entry, toxic, clean): in how many labelled texts an entry is. Added up per task before the shuffle."""
+    """(entry, toxic, clean, places): in how many labelled texts an entry is, and how many
+    different words stand before it in toxic ones (up to 64). Added up per task before the shuffle.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        toxic, clean = Counter(), Counter()
+        toxic, clean, places = Counter(), Counter(), Counter()
         for batch in batches:
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                (toxic if label else clean).update(_entries(text))
+                found = _entries(text)
+                (toxic if label else clean).update(found.keys())
+                if label:
+                    for entry, bit in found.items():
+                        places[entry] |= bit
         names = list(toxic.keys() | clean.keys())
         for k in range(0, len(names), 20_000):
             part = names[k : k + 20_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.string()), pa.array([toxic[x] for x in part], pa.int64()), pa.array([clean[x] for x in part], pa.int64())], ["entry", "toxic", "clean"]
+                [
+                    pa.array(part, pa.string()),
+                    pa.array([toxic[x] for x in part], pa.int64()),
+                    pa.array([clean[x] for x in part], pa.int64()),
+                    pa.array([places[x] - (1 << 64) * (places[x] >> 63) for x in part], pa.int64()),
+                ],
+                ["entry", "toxic", "clean", "places"],
             )
 
-    return labelled.mapInArrow(run, "entry string, toxic long, clean long").groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    rows = labelled.mapInArrow(run, "entry string, toxic long, clean long, places long")
+    return rows.groupBy("entry").agg(
+        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.bit_count(F.bit_or("places")).alias("places")
+    )
 
 
 def lexicon(labelled: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]:
     """Entries that are far more common in toxic texts than chance explains, shortest beginnings first."""
     base = n_toxic / (n_toxic + n_clean)
-    n = F.col("toxic") + F.col("clean")
-    share = F.least(F.col("toxic") / n, F.lit(1 - 1e-9))
+    # Near copies show an entry behind the same word, so no more texts count than there are different places.
+    apart = F.when(F.col("places") >= 48, F.col("toxic")).otherwise(F.least(F.col("toxic"), -64 * F.log(1 - F.col("places") / 64)))
+    n = apart + F.col("clean")
+    share = F.least(apart / n, F.lit(1 - 1e-9))
     evidence = n * (share * F.log(share / F.lit(base)) + (1 - share) * F.log((1 - share) / F.lit(1 - base)))
-    weight = F.log((F.col("toxic") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (n_clean + 1.0))
+    weight = F.log((apart + 0.5) / (n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (n_clean + 1.0))
     found = (
         _counts(labelled)
-        .where(F.col("toxic") > 0)
-        .select("entry", evidence.alias("evidence"), weight.alias("weight"))
-        .where((F.col("weight") >= LEAST_WEIGHT) & (F.col("evidence") >= EVIDENCE))
+        .where((F.col("toxic") > 0) & (apart >= LEAST_SHARE * n))
+        .select("entry", "toxic", evidence.alias("evidence"), weight.alias("weight"))
+        .where((F.col("evidence") >= EVIDENCE) & (F.col("weight") > 0))
         .orderBy(F.desc("evidence"), "entry")
         .limit(ENTRIES)
         .collect()
     )
+    # A beginning that nearly always goes on in one way gives way to the longer entry.
+    longest: dict[str, int] = {}
+    for row in found:
+        word = row["entry"].rstrip("*")
+        for n in range(1, len(word) + (not row["entry"].endswith("*"))):
+            longest[word[:n]] = max(longest.get(word[:n], 0), row["toxic"])
+    found = [r for r in found if not r["entry"].endswith("*") or longest.get(r["entry"][:-1], 0) < 0.9 * r["toxic"]]
     chosen: dict[str, float] = {}
     for row in sorted(found, key=lambda r: (not r["entry"].endswith("*"), len(r["entry"]), r["entry"])):
         word = row["entry"].rstrip("*")
