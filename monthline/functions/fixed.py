@@ -85,3 +85,10 @@ SUMMARY_METRICS = [
 ]
 HEALTH_PHASE = "HEALTH_CHECK"
 FULL_RUN_PHASE = "FULL_PIPELINE"
+
+# Definitions of format rules and the kind of check each one names.
+FORMAT_DEFINITIONS = {
+    "Must be convertible to number": "number",
+    "Must match MMM-YY format": "month",
+    "Must match YY-YY format": "fiscal_year",
+}

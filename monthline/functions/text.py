@@ -50,8 +50,8 @@ def is_fiscal_year_text(col: Column) -> Column:
 
 
 def fixed2_text(col: Column) -> Column:
-    """Two decimals, no exponent, no grouping."""
-    return col.cast("decimal(18,2)").cast("string")
+    """Two decimals, no exponent, no grouping; a number that is too large for that is written as it is."""
+    return F.coalesce(col.try_cast("decimal(38,2)").cast("string"), col.cast("string"))
 
 
 def grouped_text(col: Column, decimals: int = 0) -> Column:

@@ -11,23 +11,13 @@ from monthline.functions import dates
 from monthline.functions.numbers import to_amount, to_whole
 from monthline.functions.text import part, upper_trim
 from monthline.operators.row_id import with_row_id
-from monthline.operators.series import (
-    MAX_GROUP_ROWS,
-    longest_series,
-    with_history,
-    with_history_chunked,
-)
-from monthline.session import freeze
+from monthline.operators.series import with_history_chunked
 
 SERIES = ["brand", "state"]
 MONTHLY = [*SERIES, "period"]
 FEATURE_ORDER = [*SERIES, "ds", "period"]
 
 
-def fiscal_period(month_num: Column, fy: Column) -> Column:
-    return dates.fiscal_period(month_num, fy)
-
-
 def clean_sales(raw: DataFrame) -> DataFrame:
     """Normalised rows; rows without month, fiscal year or a readable amount are dropped."""
     return (
@@ -42,7 +32,7 @@ def clean_sales(raw: DataFrame) -> DataFrame:
             "month_num",
             to_whole(F.concat(F.lit("20"), part(F.col("month"), 2))).alias("year"),
             F.col("amount").alias("net_sales"),
-            fiscal_period(F.col("month_num"), F.col("fy")).alias("period"),
+            dates.fiscal_period(F.col("month_num"), F.col("fy")).alias("period"),
             "source_file",
         )
     )
@@ -82,29 +72,22 @@ def feature_base(agg: DataFrame) -> DataFrame:
     )
 
 
-def feature_history(base: DataFrame, strategy: str = "auto") -> DataFrame:
+def feature_history(base: DataFrame) -> DataFrame:
     """Lag and rolling columns per series, dated rows first, undated ones by period.
 
-    ``auto`` freezes the monthly totals, looks at the longest series and cuts the
-    work into fixed chunks when one series is too long for a single window group.
+    Series of every length go the same way, in chunks of fixed size.
     """
-    if strategy == "auto":
-        base = freeze(base)
-        strategy = "window" if longest_series(base, SERIES) <= MAX_GROUP_ROWS else "chunks"
-    build = {"window": with_history, "chunks": with_history_chunked}[strategy]
-    return build(base, SERIES, ["ds", "period"], "y", 3)
+    return with_history_chunked(base, SERIES, ["ds", "period"], "y", 3)
 
 
-def feature_rows(agg: DataFrame, min_lag: int = 3, strategy: str = "auto") -> DataFrame:
+def feature_rows(agg: DataFrame, min_lag: int = 3) -> DataFrame:
     """Features of all rows with at least ``min_lag`` earlier months."""
-    return feature_history(feature_base(agg), strategy).filter(F.col(f"lag_{min_lag}").isNotNull())
+    return feature_history(feature_base(agg)).filter(F.col(f"lag_{min_lag}").isNotNull())
 
 
-def feature_store(
-    agg: DataFrame, min_lag: int = 3, now: datetime | None = None, strategy: str = "auto"
-) -> DataFrame:
+def feature_store(agg: DataFrame, min_lag: int = 3, now: datetime | None = None) -> DataFrame:
     """``feature_rows`` with a dense id in brand, state, date order and a creation time."""
-    numbered = with_row_id(feature_rows(agg, min_lag, strategy), FEATURE_ORDER, "feature_id")
+    numbered = with_row_id(feature_rows(agg, min_lag), FEATURE_ORDER, "feature_id")
     return numbered.withColumn("created_at", dates.moment(now)).select(*schemas.FEATURE_STORE.names)
 
 

@@ -88,19 +88,23 @@ def _trend_value() -> Column:
     return F.col("intercept") + F.col("slope") * trend_month(F.col("ds"))
 
 
-def fit_trend(train: DataFrame, keys: Sequence[str], min_rows: int = 1) -> DataFrame:
+def long_enough(split: DataFrame, min_rows: int = fixed.MIN_TRAINING_ROWS) -> DataFrame:
+    """The rows of ``time_split`` whose whole series has at least ``min_rows`` rows."""
+    return split.filter(F.col("n") >= min_rows)
+
+
+def fit_trend(train: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Linear trend per key: n_train, slope, intercept."""
     parts = [column.alias(name) for name, column in _trend_parts().items()]
     return (
         train.groupBy(*keys)
         .agg(*parts)
-        .filter(F.col("n_train") >= min_rows)
         .withColumns(_trend_columns())
         .select(*keys, "n_train", "slope", "intercept")
     )
 
 
-def fit_month_seasonality(train: DataFrame, keys: Sequence[str], min_rows: int = 1) -> DataFrame:
+def fit_month_seasonality(train: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Mean ratio to the trend per key and calendar month, scaled to mean 1 per key.
 
     The trend is taken over a window of the same keys, so the rows are shuffled
@@ -109,7 +113,6 @@ def fit_month_seasonality(train: DataFrame, keys: Sequence[str], min_rows: int =
     series = Window.partitionBy(*keys)
     detrended = (
         train.withColumns({name: column.over(series) for name, column in _trend_parts().items()})
-        .filter(F.col("n_train") >= min_rows)
         .withColumns(_trend_columns())
         .select(
             *keys,
@@ -123,11 +126,9 @@ def fit_month_seasonality(train: DataFrame, keys: Sequence[str], min_rows: int =
     )
 
 
-def fit_trend_seasonal(
-    train: DataFrame, keys: Sequence[str], min_rows: int = fixed.MIN_TRAINING_ROWS
-) -> tuple[DataFrame, DataFrame]:
-    """(trend per key, factor per key and month) for keys with enough train rows."""
-    return fit_trend(train, keys, min_rows), fit_month_seasonality(train, keys, min_rows)
+def fit_trend_seasonal(train: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(trend per key, factor per key and month)."""
+    return fit_trend(train, keys), fit_month_seasonality(train, keys)
 
 
 def future_frame(df: DataFrame, keys: Sequence[str], periods: int | str) -> DataFrame:
@@ -198,12 +199,14 @@ def score_holdout(
 
     With ``align="date"`` every held-out month is forecast for its own date; with
     ``"position"`` the months following the train part are used in turn. At least
-    one key column is needed: a single series carries its model name.
+    one key column is needed: a single series carries its model name. ``min_rows``
+    counts all rows of a series, its held-out ones too.
     """
     split = time_split(df.select(*keys, "ds", "y").filter(F.col("ds").isNotNull()), keys)
+    split = long_enough(split, min_rows)
     train = split.filter("is_train")
     test = split.filter(~F.col("is_train")).select(*keys, "n_train", "ds", "y")
-    trend, season = fit_trend_seasonal(train, keys, min_rows)
+    trend, season = fit_trend_seasonal(train, keys)
     if align == "date":
         return forecast(test, trend, season, keys)
     frame = future_frame(train.withColumn("_test", F.col("n") - F.col("n_train")), keys, "_test")

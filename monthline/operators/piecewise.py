@@ -23,8 +23,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Changepoints are placed in the first part of the train months.
 CHANGEPOINT_RANGE = 0.8
-# Trend and season are fitted in turn, each with the other held fixed.
-ROUNDS = 10
+# Monthly data cannot tell more than six yearly harmonics apart.
+MAX_ORDER = 6
+# Trend and season are fitted in turn, each with the other held fixed. Every turn
+# lowers the same penalized loss; the rounds end when one lowers it by less than
+# this share of the loss without a model.
+TOLERANCE = 1e-7
 
 
 def _ridge(design: np.ndarray, target: np.ndarray, penalties: np.ndarray) -> np.ndarray:
@@ -57,16 +61,22 @@ def _fit_one(pdf: pd.DataFrame, changepoints: int, order: int, ridge: float) ->
     knots = np.linspace(0.0, CHANGEPOINT_RANGE, count + 1)[1:]
 
     trend_x = _trend_design(t, knots)
-    season_x = _season_design(month, min(order, 6))
+    season_x = _season_design(month, order)
     trend_penalty = np.r_[1e-9, 1e-9, np.full(count, ridge)]
     season_penalty = np.full(season_x.shape[1], ridge * 1e-2)
     target = y[train] / scale
-    season = np.zeros_like(t)
-    for _ in range(ROUNDS):
+    season, loss = np.zeros_like(t), np.inf
+    while True:
         weighted = trend_x[train] * (1.0 + season[train])[:, None]
-        trend = trend_x @ _ridge(weighted, target, trend_penalty)
+        slopes = _ridge(weighted, target, trend_penalty)
+        trend = trend_x @ slopes
         weighted = season_x[train] * trend[train][:, None]
-        season = season_x @ _ridge(weighted, target - trend[train], season_penalty)
+        waves = _ridge(weighted, target - trend[train], season_penalty)
+        season = season_x @ waves
+        gap = target - trend[train] * (1.0 + season[train])
+        before, loss = loss, gap @ gap + trend_penalty @ slopes**2 + season_penalty @ waves**2
+        if not before - loss > TOLERANCE * (target @ target):
+            break
 
     return pdf.drop(columns="t").assign(yhat=trend * (1.0 + season) * scale)
 
@@ -75,22 +85,24 @@ def fit_piecewise(
     df: DataFrame,
     keys: Sequence[str],
     changepoints: int = 25,
-    fourier_order: int = 10,
+    fourier_order: int = MAX_ORDER,
     ridge: float = 1.0,
     min_rows: int = fixed.MIN_TRAINING_ROWS,
 ) -> DataFrame:
     """(keys, ds, y, is_train, yhat): fitted on the train part, forecast for all months.
 
-    Monthly data cannot tell more than six yearly harmonics apart, so higher
-    orders are fitted as six. The series are few bytes but much arithmetic, so
-    they are dealt out to a fixed number of tasks, which adaptive execution does
-    not merge; window and fit both use that one shuffle.
+    A series has at most as many knots as its train months allow. The series are
+    few bytes but much arithmetic, so they are dealt out to a fixed number of tasks,
+    which adaptive execution does not merge; window and fit both use that one
+    shuffle. ``min_rows`` counts all rows of a series.
     """
+    if not 0 < fourier_order <= MAX_ORDER:
+        raise ValueError(f"fourier_order must be from 1 to {MAX_ORDER}, as months tell no more harmonics apart")
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dated = df.select(*keys, "ds", "y").filter(F.col("ds").isNotNull() & F.col("y").isNotNull())
     split = (
         time_split(dated.repartition(tasks, *keys), keys)
-        .filter(F.col("n_train") >= min_rows)
+        .filter((F.col("n") >= min_rows) & (F.col("n_train") > 0))
         .select(*keys, "ds", "y", "is_train", trend_month(F.col("ds")).alias("t"))
     )
     schema = T.StructType(

@@ -6,6 +6,7 @@ the current registry is the newest event of every model_id.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -19,6 +20,19 @@ from monthline.operators.forecast import join_on_keys
 from monthline.operators.latest import latest_with_status, newest, newest_per_key
 
 
+def model_name(base: str, keys: Sequence[str] = ()) -> Column:
+    """``base`` and the keys of a series, parted by ``/``.
+
+    Backslashes and slashes in a key are escaped and NULL is ``\\N``, so no two
+    series share a name.
+    """
+    parts = [
+        F.coalesce(F.replace(F.replace(F.col(k).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("/"), F.lit("\\/")), F.lit("\\N"))
+        for k in keys
+    ]
+    return F.concat_ws("/", F.lit(base), *parts)
+
+
 def candidate_rows(
     metrics: DataFrame,
     model_name: str | Column,

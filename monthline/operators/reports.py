@@ -4,18 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from monthline.functions import fixed
 from monthline.operators.latest import latest
 from monthline.operators.monitoring import LEAD_METRIC
-from monthline.operators.registry import production_info
 
 LEVELS = {"success": ("NORMAL", "BASELINE"), "warning": ("WARNING",)}
 
 
 def production_kpi(registry: DataFrame) -> DataFrame:
-    """Version, MAE and date of the newest production model."""
-    return latest(production_info(registry), "training_date", 1, "model_version").select(
-        "model_version", "mae", "training_date"
-    )
+    """Version, MAE and date of the newest production model; equal dates by larger model_id."""
+    in_production = registry.filter(F.col("status") == fixed.PRODUCTION)
+    return latest(in_production, "training_date", 1, "model_id").select("model_version", "mae", "training_date")
 
 
 def row_counts(raw: DataFrame, features: DataFrame) -> DataFrame:

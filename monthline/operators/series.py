@@ -9,23 +9,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from monthline.operators.row_id import nulls_last, with_row_id
 
-# Longest series that is handled as one window group. 100 years of dated months
-# are 1,200 rows, so only series with masses of unreadable periods are longer.
-MAX_GROUP_ROWS = 100_000
 CHUNK_ROWS = 4_096
 
 
-def longest_series(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the longest series; only this one number reaches the driver."""
-    return df.groupBy(*keys).count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
-
-
 def with_history(
     df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value: str, depth: int = 3
 ) -> DataFrame:
     """Add ``lag_1..lag_depth`` and ``rolling_avg_<depth>`` (current row excluded).
 
-    All columns share one window, hence one shuffle and one sort.
+    All columns share one window, hence one shuffle and one sort. For keys with a
+    bounded number of rows; ``with_history_chunked`` is for any.
     """
     window = Window.partitionBy(*keys).orderBy(*nulls_last(order_cols))
     columns = {f"lag_{k}": F.lag(value, k).over(window) for k in range(1, depth + 1)}

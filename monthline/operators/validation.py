@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -12,9 +12,6 @@ from monthline.functions.dates import moment
 from monthline.functions.numbers import to_amount
 from monthline.functions.text import is_fiscal_year_text, is_month_text, is_number_text
 
-MAX_RULES = 10_000
-
-
 def flag_rows(raw: DataFrame) -> DataFrame:
     """Add one flag per check and ``is_valid``.
 
@@ -129,69 +126,63 @@ def validation_log_rows(summary: DataFrame) -> DataFrame:
     )
 
 
-def _format_failure(definition: str, col: Column) -> Column:
-    checks = {
-        "Must be convertible to number": is_number_text,
-        "Must match MMM-YY format": is_month_text,
-        "Must match YY-YY format": is_fiscal_year_text,
+def _kinds() -> dict[str, Callable[[Column], Column]]:
+    """Kind of check -> predicate of a column that is true where the check fails."""
+    return {
+        "null": lambda col: col.isNull(),
+        "number": lambda col: ~is_number_text(col),
+        "month": lambda col: ~is_month_text(col),
+        "fiscal_year": lambda col: ~is_fiscal_year_text(col),
+        "positive": lambda col: ~F.coalesce(to_amount(col) > 0, F.lit(False)),
+        "present": lambda col: F.lit(False),
     }
-    if definition not in checks:
-        raise ValueError(f"unknown format rule: {definition}")
-    return ~checks[definition](col)
-
-
-def _range_failure(definition: str, col: Column) -> Column:
-    if "positive" not in definition:
-        raise ValueError(f"unknown range rule: {definition}")
-    return ~F.coalesce(to_amount(col) > 0, F.lit(False))
-
-
-def rule_failure(columns: Sequence[str], rule_type: str, column_name: str, definition: str) -> Column:
-    """Row predicate that is true where the rule is broken."""
-    name = column_name.lower()
-    if name not in {c.lower() for c in columns}:
-        return F.lit(True)
-    col = F.col(name)
-    if rule_type == "SCHEMA":
-        return col.isNull() if "not be null" in definition else F.lit(False)
-    if rule_type == "NULL_CHECK":
-        return col.isNull()
-    if rule_type == "FORMAT":
-        return _format_failure(definition, col)
-    if rule_type == "RANGE":
-        return _range_failure(definition, col)
-    raise ValueError(f"unknown rule type: {rule_type}")
+
+
+def rule_kind(rule_type: Column, definition: Column) -> Column:
+    """The kind of check a rule asks for; an unknown rule stops the job with its text."""
+    unknown = F.raise_error(F.concat_ws(" ", F.lit("unknown rule:"), rule_type, definition))
+    formats = F.lit(None)
+    for text, kind in fixed.FORMAT_DEFINITIONS.items():
+        formats = F.when(definition == text, F.lit(kind)).otherwise(formats)
+    return (
+        F.when(rule_type == "SCHEMA", F.when(F.contains(definition, F.lit("not be null")), F.lit("null")).otherwise(F.lit("present")))
+        .when(rule_type == "NULL_CHECK", F.lit("null"))
+        .when((rule_type == "FORMAT") & formats.isNotNull(), formats)
+        .when((rule_type == "RANGE") & F.contains(definition, F.lit("positive")), F.lit("positive"))
+        .otherwise(unknown)
+    )
+
+
+def failing(col: Column, kind: str) -> Column:
+    """Row predicate that is true where a check of this kind fails."""
+    return _kinds()[kind](col)
 
 
 def apply_rules(raw: DataFrame, rules: DataFrame) -> DataFrame:
     """(rule_name, failing_rows) for every active rule, from a single pass over ``raw``.
 
-    The rules are a configuration table; they are read at the driver to build
-    the plan, up to ``MAX_RULES`` of them.
+    Every column is counted once for every kind of check, however many rules there
+    are, and the rules find their counts by a join. A rule on a column that ``raw``
+    does not have is broken by every row.
     """
-    active = (
-        rules.filter("is_active")
-        .orderBy("rule_id")
-        .select("rule_name", "rule_type", "column_name", "rule_definition")
-        .take(MAX_RULES + 1)
-    )
-    if len(active) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} active rules")
-    if not active:
-        return raw.sparkSession.createDataFrame([], "rule_name string, failing_rows bigint")
+    text = {name: F.col(f"`{name}`").cast("string") for name in raw.columns}
     counted = raw.agg(
-        *[
-            F.count_if(rule_failure(raw.columns, r.rule_type, r.column_name, r.rule_definition)).alias(f"r{i}")
-            for i, r in enumerate(active)
-        ]
+        F.count(F.lit(1)).alias("_all"),
+        *[F.count_if(failing(text[name], kind)).alias(f"{kind}:{i}") for i, name in enumerate(raw.columns) for kind in _kinds()],
     )
-    pairs = F.array(
+    cells = F.array(
         *[
-            F.struct(F.lit(r.rule_name).alias("rule_name"), F.col(f"r{i}").alias("failing_rows"))
-            for i, r in enumerate(active)
+            F.struct(F.lit(name.lower()).alias("_column"), F.lit(kind).alias("_kind"), F.col(f"{kind}:{i}").alias("_failing"))
+            for i, name in enumerate(raw.columns)
+            for kind in _kinds()
         ]
     )
-    return counted.select(F.inline(pairs))
+    counts = counted.select(F.inline(cells))
+    asked = rules.filter("is_active").select(
+        "rule_name", F.lower("column_name").alias("_column"), rule_kind(F.col("rule_type"), F.col("rule_definition")).alias("_kind")
+    )
+    found = asked.join(counts, ["_column", "_kind"], "left").withColumn("_rows", counted.select("_all").scalar())
+    return found.select("rule_name", F.coalesce("_failing", "_rows").alias("failing_rows"))
 
 
 def quarantine(raw: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -241,9 +241,17 @@ def sort_full(spark, sf):
     return src.agg(spark, sf).orderBy(*[F.col(c).asc_nulls_last() for c in ("brand", "state", "period")])
 
 
-@query("limit_sample")
+@query(
+    "limit_sample",
+    sql_over(
+        "raw_sales",
+        select="SELECT * FROM raw_sales ORDER BY " + ", ".join(f"{c} NULLS LAST" for c in [*src.FIELDS, "source_file"]) + " LIMIT 10",
+    ),
+)
 def limit_sample(spark, sf):
-    return src.raw_sales(spark, sf).limit(10)
+    """The first ten rows in the order of all columns."""
+    raw = src.raw_sales(spark, sf)
+    return raw.orderBy(*[F.col(c).asc_nulls_last() for c in raw.columns]).limit(10)
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from monthline.parity import inputs as src
@@ -12,7 +14,7 @@ from monthline.plans.load import raw_sales as landed_sales
 from monthline.plans.load import validate_and_load
 from monthline.plans.train import aggregate_batch, monthly_totals, run_pipeline, stored_registry
 from monthline.session import scratch_path
-from monthline.sources.sales_csv import CSV_OPTIONS, LINE_SCHEMA, read_sales_csv, with_load_ts
+from monthline.sources.sales_csv import REJECTED_LINE, read_sales_csv, with_load_ts
 from monthline.sources.tables import read_table
 from monthline.streaming.ingest import run_stream
 
@@ -53,14 +55,21 @@ def csv_trim(spark, sf):
     sql_over(
         "keyed_raw",
         select="""
-        SELECT CASE WHEN k % 53 = 0 OR k % 59 = 0 THEN 'rejected' ELSE 'accepted' END AS side, count(*) AS lines
-        FROM keyed_raw GROUP BY 1""",
+        SELECT CASE WHEN k % 53 = 0 OR k % 59 = 0 THEN 'rejected' ELSE 'accepted' END AS side,
+          CASE WHEN k % 53 = 0 OR k % 59 = 0 THEN
+            coalesce(material_group, 'NULL') || ',' || material_description || ',' || coalesce(sold_state, '') || ',' || supply_location
+            || ',' || coalesce(month, 'null') || ',' || coalesce(fy, 'NULL')
+            || CASE WHEN k % 53 = 0 THEN '' ELSE ',' || coalesce('"' || net_sales || '"', '') || ',extra' END END AS line,
+          count(*) AS lines
+        FROM keyed_raw GROUP BY 1, 2""",
     ),
 )
 def csv_reject_split(spark, sf):
     good, bad = read_sales_csv(spark, src.write_sales_files(spark, sf, broken=True))
-    sides = good.select(F.lit("accepted").alias("side")).unionByName(bad.select(F.lit("rejected").alias("side")))
-    return sides.groupBy("side").agg(F.count(F.lit(1)).alias("lines"))
+    sides = good.select(F.lit("accepted").alias("side"), F.lit(None).cast("string").alias("line")).unionByName(
+        bad.select(F.lit("rejected").alias("side"), F.col(REJECTED_LINE).alias("line"))
+    )
+    return sides.groupBy("side", "line").agg(F.count(F.lit(1)).alias("lines"))
 
 
 @query(
@@ -68,11 +77,14 @@ def csv_reject_split(spark, sf):
     sql_over("keyed_raw", select="SELECT CAST(k % 4 AS VARCHAR) AS lot, count(*) AS row_count FROM keyed_raw GROUP BY 1"),
 )
 def source_file_lineage(spark, sf):
-    """Rows per lot folder, taken from the file path of each row."""
-    path = src.write_sales_files(spark, sf)
-    rows = spark.read.schema(LINE_SCHEMA).options(**CSV_OPTIONS).csv(path)
-    lot = F.regexp_extract(F.col("_metadata.file_path"), r"lot=([^/]+)/", 1)
-    return rows.groupBy(lot.alias("lot")).agg(F.count(F.lit(1)).alias("row_count"))
+    """Rows per lot, each lot in files of its own, by the file name that the scan gives each row."""
+    out = []
+    for lot in range(4):
+        good, _ = read_sales_csv(spark, src.write_sales_files(spark, sf, lots=(lot,)))
+        out.append(good.groupBy("source_file").agg(F.count(F.lit(1)).alias("n")).withColumn("lot", F.lit(str(lot))))
+    files = reduce(lambda a, b: a.unionByName(b), out)
+    named = files.filter(F.col("source_file").endswith(".csv"))
+    return named.groupBy("lot").agg(F.sum("n").alias("row_count"))
 
 
 @query(

@@ -14,11 +14,13 @@ from monthline.operators.forecast import (
     forecast,
     future_frame,
     global_series,
+    long_enough,
     prediction_rows,
     time_split,
+    trend_month,
 )
 from monthline.operators.piecewise import fit_piecewise
-from monthline.operators.registry import candidate_rows
+from monthline.operators.registry import candidate_rows, model_name
 from monthline.parity import inputs as src
 from monthline.parity.catalog import query
 from monthline.parity.inputs import NOW, NOW_SQL, sql_over
@@ -32,6 +34,10 @@ def train_rows(spark, sf):
     return time_split(src.month_series(spark, sf), SERIES).filter("is_train")
 
 
+def fit_rows(spark, sf):
+    return long_enough(train_rows(spark, sf))
+
+
 @query(
     "series_global",
     sql_over(
@@ -80,7 +86,7 @@ def min_history_guard(spark, sf):
     ),
 )
 def trend(spark, sf):
-    return rounded(fit_trend(train_rows(spark, sf), SERIES, 10), "slope", "intercept")
+    return rounded(fit_trend(fit_rows(spark, sf), SERIES), "slope", "intercept")
 
 
 @query(
@@ -90,7 +96,7 @@ def trend(spark, sf):
     ),
 )
 def seasonality(spark, sf):
-    return rounded(fit_month_seasonality(train_rows(spark, sf), SERIES, 10), "month_factor", digits=5)
+    return rounded(fit_month_seasonality(fit_rows(spark, sf), SERIES), "month_factor", digits=5)
 
 
 @query(
@@ -124,7 +130,7 @@ def frame(spark, sf):
     ),
 )
 def year_ahead(spark, sf):
-    train = train_rows(spark, sf)
+    train = fit_rows(spark, sf)
     models = fit_trend_seasonal(train, SERIES)
     return rounded(forecast(future_frame(train, SERIES, 12), *models, SERIES), "yhat")
 
@@ -141,9 +147,25 @@ def backtest_metrics(spark, sf):
     return rounded(backtest(src.month_series(spark, sf), SERIES), "mae", "rmse", "mape")
 
 
-@query("forecast_piecewise")
+@query(
+    "forecast_piecewise",
+    sql_over(
+        "split",
+        select="SELECT brand, state, ds, round(y, 2) AS y, is_train, true AS is_finite, true AS line_is_met FROM split WHERE n >= 10",
+    ),
+)
 def forecast_piecewise(spark, sf):
-    return fit_piecewise(src.month_series(spark, sf), SERIES)
+    """Every month of the series and of straight lines over the same months has a forecast, and lines are met."""
+    months = src.month_series(spark, sf)
+    line = (trend_month(F.col("ds")) * 3.0 + 5_000.0).alias("y")
+    found = fit_piecewise(months, SERIES)
+    straight = fit_piecewise(months.select(*SERIES, "ds", line), SERIES)
+    met = straight.select(
+        *[F.col(k).alias(f"_{k}") for k in (*SERIES, "ds")], (F.abs(F.col("yhat") - F.col("y")) <= F.col("y") * 1e-3).alias("line_is_met")
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in (*SERIES, "ds")]
+    finite = F.col("yhat").isNotNull() & ~F.isnan("yhat") & (F.abs("yhat") < float("inf"))
+    return found.join(met, same).select(*SERIES, "ds", F.round("y", 2).alias("y"), "is_train", finite.alias("is_finite"), "line_is_met")
 
 
 @query(
@@ -173,5 +195,5 @@ def log_predictions(spark, sf):
     ),
 )
 def register_candidate(spark, sf):
-    name = F.concat_ws("/", F.lit("sales"), "brand", "state")
+    name = model_name("sales", SERIES)
     return rounded(candidate_rows(src.holdout_metrics(spark, sf), name, "v1", NOW), "mae", "rmse", "mape")

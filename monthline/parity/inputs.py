@@ -12,7 +12,7 @@ from monthline.operators.forecast import error_metrics, score_holdout
 from monthline.operators.monitoring import drift_baseline
 from monthline.operators.registry import compare_models
 from monthline.session import scratch_path
-from monthline.sources.tables import read_table, spread
+from monthline.sources.tables import read_table
 
 NOW = datetime(2001, 8, 15, 8, 30)
 BASELINE_BEFORE = "2018-07-01"
@@ -29,8 +29,7 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"
     )
     return (
-        spread(lines)
-        .join(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand"), "l_partkey")
+        lines.join(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand"), "l_partkey")
         .join(
             table(spark, sf_dir, "supplier").select(
                 F.col("s_suppkey").alias("l_suppkey"), "s_name", F.col("s_nationkey").alias("n_nationkey")
@@ -343,7 +342,7 @@ FRAGMENTS = {
         SELECT brand, state, count(*) AS n_train,
           CASE WHEN min(t) < max(t) THEN regr_slope(y, t) ELSE 0 END AS slope,
           CASE WHEN min(t) < max(t) THEN regr_intercept(y, t) ELSE avg(y) END AS intercept
-        FROM split WHERE is_train GROUP BY brand, state HAVING count(*) >= 10""",
+        FROM split WHERE is_train AND n >= 10 GROUP BY brand, state""",
     "season": """
         SELECT brand, state, month, ratio / avg(ratio) OVER (PARTITION BY brand, state) AS month_factor
         FROM (SELECT s.brand, s.state, CAST(month(ds) AS INTEGER) AS month,

@@ -101,11 +101,12 @@ def promote_first_model(spark, sf):
     ),
 )
 def no_candidate_noop(spark, sf):
-    """Registry rows of names without a candidate, after the decisions: unchanged."""
+    """Registry rows of names without a candidate, out of the whole registry after the decisions: unchanged."""
     registry = src.registry(spark, sf)
     made = decisions(spark, sf)
-    untouched = registry.join(made.select("model_name"), "model_name", "left_anti")
-    return apply_promotion(untouched, made, NOW)
+    after = apply_promotion(registry, made, NOW)
+    pending = registry.filter(F.col("status") == "CANDIDATE").select("model_name")
+    return after.join(pending, "model_name", "left_anti")
 
 
 @query("apply_promotion", PROMOTED_SQL)

@@ -108,7 +108,7 @@ def health_run_record(spark, sf):
     sql_over(
         "registry",
         select="SELECT model_version, mae, training_date FROM registry WHERE status = 'PRODUCTION' "
-        "ORDER BY training_date DESC, model_version DESC LIMIT 1",
+        "ORDER BY training_date DESC, model_id DESC LIMIT 1",
     ),
 )
 def dash_production_kpi(spark, sf):

@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from monthline.functions import fixed
-from monthline.functions.text import null_if_token
 from monthline.operators.validation import (
     apply_rules,
     check_counts,
+    failing,
     flag_rows,
     quarantine,
-    rule_failure,
     summarise,
     total_counts,
     validate,
@@ -20,6 +19,7 @@ from monthline.parity import inputs as src
 from monthline.parity.catalog import query
 from monthline.parity.inputs import NOW, sql_over
 from monthline.session import scratch_path
+from monthline.sources.sales_csv import read_sales_csv
 from monthline.sources.tables import load_rules, read_table, rules_frame
 
 FLAGS_SQL = """material_group IS NULL AS null_material_group, sold_state IS NULL AS null_sold_state,
@@ -38,14 +38,13 @@ COUNTS_SQL = """count(*) AS total_records,
     "csv_null_tokens",
     sql_over(
         "raw_sales",
-        select="SELECT nullif(month, '2024/05') AS month, nullif(nullif(net_sales, 'n/a'), '') AS net_sales FROM raw_sales",
+        select="SELECT material_group, trim(sold_state) AS sold_state, month, fy, net_sales FROM raw_sales",
     ),
 )
 def csv_null_tokens(spark, sf):
-    return src.raw_sales(spark, sf).select(
-        null_if_token(F.col("month"), ("", "2024/05")).alias("month"),
-        null_if_token(F.col("net_sales"), ("", "n/a")).alias("net_sales"),
-    )
+    """The written files hold every token for a missing value; all of them are read as NULL."""
+    good, _ = read_sales_csv(spark, src.write_sales_files(spark, sf))
+    return good.select("material_group", "sold_state", "month", "fy", "net_sales")
 
 
 @query(
@@ -150,8 +149,7 @@ def truncate_reload_rules(spark, sf):
 )
 def rule_net_sales_positive(spark, sf):
     raw = src.raw_sales(spark, sf)
-    broken = rule_failure(raw.columns, "RANGE", "NET_SALES", "Net sales should be positive after conversion")
-    return raw.filter(broken).select("source_file", "net_sales")
+    return raw.filter(failing(F.col("net_sales"), "positive")).select("source_file", "net_sales")
 
 
 @query(

@@ -16,6 +16,10 @@ class Layout:
     def landing(self) -> str:
         return self._path("raw", "landing")
 
+    @property
+    def landed_files(self) -> str:
+        return self._path("raw", "landed_files")
+
     @property
     def validation_log(self) -> str:
         return self._path("staging", "validation_log")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from monthline import schemas
 from monthline.operators.validation import validate, validation_log_rows
 from monthline.plans.layout import Layout
-from monthline.sources.sales_csv import REJECTED_LINE, scan_lines, with_load_ts
+from monthline.sources.sales_csv import FILE, REJECTED_LINE, scan_lines, with_load_ts
 from monthline.sources.tables import BATCH, append_log, read_log, read_table, with_log_id
 
 OUTCOME = "outcome"
@@ -18,15 +18,33 @@ LOADED, REJECTED = "loaded", "rejected"
 _LANDING = T.StructType(
     schemas.RAW_SALES.fields
     + [T.StructField(name, T.StringType()) for name in (REJECTED_LINE, BATCH, OUTCOME)]
+    + [T.StructField(name, kind) for name, kind in FILE.items()]
 )
+_FILES = T.StructType([field for field in _LANDING.fields if field.name in FILE])
 
 
-def land(lines: DataFrame, layout: Layout, batch: str, now: datetime | None = None) -> None:
+def landed_files(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Path, size and time of every file that has been landed, and its batch."""
+    return read_log(spark, layout.landed_files, _FILES)
+
+
+def land(
+    lines: DataFrame, layout: Layout, batch: str, now: datetime | None = None, force: bool = False
+) -> None:
     """Write good and rejected lines of one batch in a single pass over its files.
 
-    The outcome is a partition folder, so reading either side skips the other,
-    and a repeated attempt replaces the batch.
+    Files that another batch has landed are left out, unless ``force`` asks for
+    them again. The outcome is a partition folder, so reading either side skips
+    the other. A repeated attempt replaces the batch; a batch of that name with
+    other files is refused.
     """
+    spark = lines.sparkSession
+    files = landed_files(spark, layout)
+    own = files.filter(F.col(BATCH) == batch).drop(BATCH)
+    if not own.isEmpty() and not own.join(lines.select(*FILE).distinct(), list(FILE), "left_anti").isEmpty():
+        raise ValueError(f"batch {batch} has been loaded from other files")
+    if not force:
+        lines = lines.join(files.filter(F.col(BATCH) != batch), list(FILE), "left_anti")
     outcome = F.when(F.col(REJECTED_LINE).isNull(), LOADED).otherwise(REJECTED)
     (
         with_load_ts(lines, now)
@@ -35,6 +53,8 @@ def land(lines: DataFrame, layout: Layout, batch: str, now: datetime | None = No
         .partitionBy(OUTCOME)
         .parquet(f"{layout.landing}/{BATCH}={batch}")
     )
+    written = read_table(spark, f"{layout.landing}/{BATCH}={batch}", _LANDING, layout.landing, missing_ok=True)
+    append_log(written.select(*FILE).distinct(), layout.landed_files, batch)
 
 
 def _landing(spark: SparkSession, layout: Layout, outcome: str, batch: str | None) -> DataFrame:
@@ -42,7 +62,7 @@ def _landing(spark: SparkSession, layout: Layout, outcome: str, batch: str | Non
     if batch is None:
         rows = read_table(spark, layout.landing, _LANDING)
     else:
-        rows = read_table(spark, f"{layout.landing}/{BATCH}={batch}", _LANDING, layout.landing)
+        rows = read_table(spark, f"{layout.landing}/{BATCH}={batch}", _LANDING, layout.landing, missing_ok=True)
     return rows.filter(F.col(OUTCOME) == outcome)
 
 
@@ -70,9 +90,9 @@ def validate_batch(
 
 
 def validate_and_load(
-    spark: SparkSession, in_path: str, out_root: str, batch: str, now: datetime | None = None
+    spark: SparkSession, in_path: str, out_root: str, batch: str, now: datetime | None = None, force: bool = False
 ) -> DataFrame:
-    """Load all files under ``in_path`` as one batch and return its validation row."""
+    """Load the files under ``in_path`` that are not landed yet as one batch and return its validation row."""
     layout = Layout(out_root)
-    land(scan_lines(spark, in_path), layout, batch, now)
+    land(scan_lines(spark, in_path), layout, batch, now, force)
     return validate_batch(spark, layout, batch, now)

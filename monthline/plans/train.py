@@ -33,10 +33,11 @@ from monthline.operators.registry import (
     compare_models,
     comparison_log,
     current_registry,
+    model_name,
     registry_events,
 )
 from monthline.plans.layout import Layout
-from monthline.plans.load import raw_sales
+from monthline.plans.load import landed_files, raw_sales
 from monthline.session import freeze
 from monthline.sources.tables import (
     BATCH,
@@ -56,13 +57,22 @@ def aggregate_batch(spark: SparkSession, layout: Layout, batch: str) -> None:
     append_log(agg_sales(clean_sales(raw_sales(spark, layout, batch))), layout.agg_parts, batch)
 
 
+def aggregate_pending(spark: SparkSession, layout: Layout) -> None:
+    """Store the monthly totals of every landed batch that has none yet."""
+    done = read_log(spark, layout.agg_parts, schemas.AGG_SALES).select(BATCH).distinct()
+    pending = landed_files(spark, layout).select(BATCH).distinct().join(done, BATCH, "left_anti")
+    for row in pending.collect():
+        aggregate_batch(spark, layout, row[BATCH])
+
+
 def monthly_totals(spark: SparkSession, layout: Layout) -> DataFrame:
     """Monthly totals of all batches."""
     return combine_agg(read_table(spark, layout.agg_parts, schemas.AGG_SALES))
 
 
 def refresh_features(spark: SparkSession, layout: Layout, now: datetime | None = None) -> int:
-    """Rebuild the feature table and return its row count."""
+    """Add what has been landed since, rebuild the feature table and return its row count."""
+    aggregate_pending(spark, layout)
     store = feature_store(monthly_totals(spark, layout), now=now)
     replace_table(store, layout.feature_store, settled=True)
     return stored_features(spark, layout).count()
@@ -73,7 +83,7 @@ def stored_features(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 def stored_registry(spark: SparkSession, layout: Layout) -> DataFrame:
-    return current_registry(read_table(spark, layout.model_events, schemas.MODEL_EVENTS))
+    return current_registry(read_table(spark, layout.model_events, schemas.MODEL_EVENTS, missing_ok=True))
 
 
 def _decided(batch: str) -> str:
@@ -99,19 +109,20 @@ def train_models(
 ) -> bool:
     """Backtest the global series (or every series in ``by``) and register candidates.
 
-    Returns False and writes nothing when there are too few feature rows.
+    Returns False and writes nothing when there are too few feature rows. The
+    global series is then fitted over the periods there are; of the series in ``by``
+    those with enough rows of their own are.
     """
     features = stored_features(spark, layout)
     if not enough_history(features, []).take(1):
         return False
     version = _version(now)
     if by:
-        name = F.concat_ws("/", F.lit(GLOBAL_MODEL), *[F.coalesce(F.col(k), F.lit("?")) for k in by])
-        series = features.select(*by, "ds", "y", name.alias("model_name"))
+        series = features.select(*by, "ds", "y", model_name(GLOBAL_MODEL, by).alias("model_name"))
     else:
         series = global_series(features).withColumn("model_name", F.lit(GLOBAL_MODEL))
     keys = ["model_name", *by]
-    scored = freeze(score_holdout(freeze(series), keys))
+    scored = freeze(score_holdout(freeze(series), keys, min_rows=fixed.MIN_TRAINING_ROWS if by else 1))
     events = _events_before(spark, layout, batch)
     rows = candidate_rows(error_metrics(scored, [*keys, "n_train"]), F.col("model_name"), version, now)
     candidates = with_log_id(rows, events, "model_id", ["model_name"], batch)
@@ -171,7 +182,7 @@ def summary(spark: SparkSession, layout: Layout) -> DataFrame:
         stored_registry(spark, layout),
         stored_features(spark, layout),
         raw_sales(spark, layout),
-        read_table(spark, layout.drift_metrics, schemas.DRIFT_METRICS),
+        read_table(spark, layout.drift_metrics, schemas.DRIFT_METRICS, missing_ok=True),
     )
 
 
@@ -197,7 +208,7 @@ def run_pipeline(
         compare_and_promote(spark, layout, batch, now)
         check_drift(spark, layout, batch, now)
     except Exception as problem:
-        _log_full_run(spark, layout, batch, now, "FAILED", None, started, str(problem)[:500])
+        _log_full_run(spark, layout, batch, now, "FAILED", None, started, str(problem))
         raise
     _log_full_run(spark, layout, batch, now, "SUCCESS", records, started, None)
     return read_log(spark, layout.runs, schemas.PIPELINE_RUNS).filter(F.col(BATCH) == batch)

@@ -13,6 +13,8 @@ from monthline.functions.dates import moment
 from monthline.functions.text import null_if_token
 
 REJECTED_LINE = "rejected_line"
+# What tells one version of a file from another.
+FILE = {"file_path": T.StringType(), "file_size": T.LongType(), "file_modified": T.TimestampType()}
 
 # Column pruning stays off: with it the parser only splits the selected fields
 # and no longer notices lines with too few or too many of them.
@@ -34,9 +36,14 @@ LINE_SCHEMA = T.StructType(
 
 
 def tag_lines(lines: DataFrame, null_tokens: Sequence[str] = fixed.NULL_TOKENS) -> DataFrame:
-    """Map null tokens and add the file name; keeps good and rejected lines together."""
+    """Map null tokens and add the file's name and version; keeps good and rejected lines together."""
     fields = [null_if_token(F.col(name), null_tokens).alias(name) for name in schemas.SALES_FILE.names]
-    return lines.select(*fields, F.col("_metadata.file_name").alias("source_file"), REJECTED_LINE)
+    version = [
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_size").alias("file_size"),
+        F.col("_metadata.file_modification_time").alias("file_modified"),
+    ]
+    return lines.select(*fields, F.col("_metadata.file_name").alias("source_file"), *version, REJECTED_LINE)
 
 
 def scan_lines(spark: SparkSession, path: str | list[str], null_tokens: Sequence[str] = fixed.NULL_TOKENS) -> DataFrame:
@@ -60,7 +67,7 @@ def is_rejected() -> Column:
 
 
 def accepted(lines: DataFrame) -> DataFrame:
-    return lines.filter(~is_rejected()).drop(REJECTED_LINE)
+    return lines.filter(~is_rejected()).drop(REJECTED_LINE, *FILE)
 
 
 def rejected(lines: DataFrame) -> DataFrame:

@@ -22,9 +22,13 @@ BATCH = "batch"
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, base: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    base: str | None = None,
+    missing_ok: bool = False,
 ) -> DataFrame:
-    """Scan a table; with a schema, a table nobody wrote yet reads as empty.
+    """Scan a table; with ``missing_ok`` and a schema, one that nobody wrote yet reads as empty.
 
     ``base`` names the table when ``path`` is one of its partition folders: only
     that folder is listed, however many others there are.
@@ -37,25 +41,15 @@ def read_table(
     try:
         return reader.parquet(path)
     except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
+        if problem.getCondition() != "PATH_NOT_FOUND" or not missing_ok:
             raise
         return spark.createDataFrame([], schema)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a scan with far fewer tasks than cores.
-
-    A small file often holds a single row group, which one task reads alone.
-    Inputs with at least half as many tasks as cores are returned as they are, so
-    no large table is shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores // 2 else df
-
-
 def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Scan an append log together with the batch each row came from."""
-    return read_table(spark, path, T.StructType(schema.fields + [T.StructField(BATCH, T.StringType())]))
+    with_batch = T.StructType(schema.fields + [T.StructField(BATCH, T.StringType())])
+    return read_table(spark, path, with_batch, missing_ok=True)
 
 
 def replace_table(

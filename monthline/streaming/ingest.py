@@ -30,18 +30,23 @@ def batch_handler(
     out_root: str,
     clock: Callable[[], datetime] | None = None,
     train: bool = True,
+    name: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """Work for one micro-batch. Everything it writes is filed under the batch id.
+    """Work for one micro-batch. Everything it writes is filed under ``name``, or the query's id, and the batch id.
 
-    A replayed micro-batch overwrites its own folders, so each row counts once.
-    Without loaded rows nothing runs downstream and no trigger is logged.
+    The query's id lasts as long as its checkpoint; landing refuses a name that other files have used. A replayed micro-batch overwrites
+    its own folders, so each row counts once; another stream into the same
+    folder, or one whose checkpoint was reset, cannot touch them. Without loaded rows nothing runs downstream and no trigger is logged.
     """
     layout = Layout(out_root)
     clock = clock or (lambda: datetime.now().replace(microsecond=0))
 
     def handle(lines: DataFrame, batch_id: int) -> None:
         spark = lines.sparkSession
-        now, batch = clock(), f"stream{batch_id}"
+        stream = name or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not stream:
+            raise ValueError("a stream without a query id needs a name")
+        now, batch = clock(), f"{stream}-{batch_id}"
         land(lines, layout, batch, now)
         new_rows = raw_sales(spark, layout, batch).count()
         if new_rows == 0:
@@ -65,11 +70,12 @@ def run_stream(
     clock: Callable[[], datetime] | None = None,
     train: bool = True,
     max_files: int | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Pick up each new file once: all that are there now, or one batch per interval."""
     writer = (
         stream_lines(spark, in_dir, max_files)
-        .writeStream.foreachBatch(batch_handler(out_root, clock, train))
+        .writeStream.foreachBatch(batch_handler(out_root, clock, train, name))
         .option("checkpointLocation", checkpoint)
     )
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}

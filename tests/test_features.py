@@ -13,7 +13,7 @@ from conftest import SMALL, ordered, rows_of
 from monthline import schemas
 from monthline.operators import features as fe
 from monthline.operators.row_id import nulls_last, with_row_id
-from monthline.operators.series import longest_series, with_history, with_history_chunked
+from monthline.operators.series import with_history, with_history_chunked
 from monthline.parity import inputs as src
 
 
@@ -52,12 +52,11 @@ def test_nulls_form_groups(spark):
     assert got == [(None, "S", "2023-04", Decimal("3.00"), 2)]
 
 
-@pytest.mark.parametrize("strategy", ["auto", "window", "chunks"])
-def test_lags_are_positional_and_exclude_the_current_row(spark, strategy):
+def test_lags_are_positional_and_exclude_the_current_row(spark):
     months = ["2023-01", "2023-02", "2023-04", "2023-05", "2024-01"]
     base = fe.feature_base(agg(spark, [("B", "S", m, str(10 ** i)) for i, m in enumerate(months)]))
     got = rows_of(
-        fe.feature_history(base, strategy).orderBy("ds"), "period", "lag_1", "lag_2", "lag_3", "rolling_avg_3"
+        fe.feature_history(base).orderBy("ds"), "period", "lag_1", "lag_2", "lag_3", "rolling_avg_3"
     )
     assert got == [
         ("2023-01", None, None, None, None),
@@ -68,10 +67,9 @@ def test_lags_are_positional_and_exclude_the_current_row(spark, strategy):
     ]
 
 
-@pytest.mark.parametrize("strategy", ["window", "chunks"])
-def test_undated_rows_come_last_by_period(spark, strategy):
+def test_undated_rows_come_last_by_period(spark):
     rows = [("B", "S", p, y) for p, y in [("202023-05", "5"), ("2023-02", "2"), (None, "6"), ("202023-04", "4"), ("2023-01", "1")]]
-    history = fe.feature_history(fe.feature_base(agg(spark, rows)), strategy)
+    history = fe.feature_history(fe.feature_base(agg(spark, rows)))
     got = dict(rows_of(history, "period", "lag_1"))
     assert got == {"2023-01": None, "2023-02": 1.0, "202023-04": 2.0, "202023-05": 4.0, None: 5.0}
 
@@ -122,12 +120,6 @@ def test_chunked_history_equals_the_window(spark, chunk_rows):
     assert ordered(plain, *columns) == ordered(chunked, *columns)
 
 
-def test_longest_series(spark):
-    df = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
-    assert longest_series(df, ["k"]) == 2
-    assert longest_series(df.limit(0), ["k"]) == 0
-
-
 @pytest.mark.parametrize("partitions", [None, 1, 8, 23])
 def test_row_id_equals_row_number(spark, partitions):
     df = _series(spark, 5, 0.5).repartition(5)

@@ -49,7 +49,7 @@ def test_season_has_mean_one(spark):
 
 def test_forecast_follows_line_and_unseen_months_count_as_one(spark):
     line = series(spark, "a", [100 + 5 * i for i in range(6)])
-    models = fc.fit_trend_seasonal(line, ["k"], min_rows=1)
+    models = fc.fit_trend_seasonal(line, ["k"])
     frame = fc.future_frame(line, ["k"], 3)
     got = rows_of(fc.forecast(frame, *models, ["k"]).orderBy("ds"), "ds", F.round("yhat", 6))
     assert got == [(month(6), 130.0), (month(7), 135.0), (month(8), 140.0)]
@@ -103,9 +103,10 @@ def test_null_keys_are_scored_and_undated_rows_are_not(spark):
 
 
 def test_short_series_are_refused(spark):
-    df = series(spark, "short", range(12)).union(series(spark, "long", range(1, 21)))
-    assert [r.k for r in fc.backtest(df, ["k"]).collect()] == ["long"]
-    assert rows_of(fc.enough_history(df, ["k"], 13)) == [("long", 20)]
+    """The floor counts the whole series, as the guard does."""
+    df = series(spark, "short", range(9)).union(series(spark, "ten", range(1, 11))).union(series(spark, "long", range(1, 21)))
+    assert ordered(fc.backtest(df, ["k"]), "k", "n_train", "n") == [("long", 16, 4), ("ten", 8, 2)]
+    assert ordered(fc.enough_history(df, ["k"])) == [("long", 20), ("ten", 10)]
 
 
 def test_global_series_drops_undated_rows(spark):

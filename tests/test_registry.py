@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import ordered, rows_of
 from monthline import schemas
@@ -137,3 +138,23 @@ def test_comparison_combines_before_the_shuffle(spark):
     plan = rg.compare_models(registry(spark, [(1, "m", "CANDIDATE", 1.0)]))._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan
     assert "Window" not in plan
+
+
+def test_extreme_errors_do_not_stop_the_other_decisions(spark, now):
+    rows = []
+    for i, (old, new) in enumerate([(1e-12, 1e5), (1e300, 1.0), (1.0, 1e300), (float("nan"), 1.0), (10.0, 5.0)]):
+        for j, (mae, status) in enumerate([(old, "PRODUCTION"), (new, "CANDIDATE")]):
+            rows.append((2 * i + j, f"m{i}", f"v{j}", mae, status))
+    models = (
+        spark.createDataFrame(rows, "model_id long, model_name string, model_version string, mae double, status string")
+        .withColumns({"training_date": F.lit(now), "promoted_date": F.lit(None).cast("timestamp_ntz"), "notes": F.lit(None).cast("string")})
+    )
+    made = {r.model_name: r for r in rg.compare_models(models, now=now).collect()}
+    assert len(made) == 5 and all(r.decision_reason for r in made.values())
+    assert made["m4"].decision == "PROMOTE" and made["m0"].decision == "KEEP_CURRENT"
+
+
+def test_names_of_different_series_differ(spark):
+    keys = [("A/B", "KA"), ("A", "B/KA"), (None, "KA"), ("\\N", "KA"), ("?", "KA"), ("A\\", "/KA"), ("A\\/", "KA")]
+    df = spark.createDataFrame(keys, "brand string, state string").select(rg.model_name("M", ["brand", "state"]).alias("n"))
+    assert df.distinct().count() == len(keys)

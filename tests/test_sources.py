@@ -66,9 +66,10 @@ def test_load_time(spark, sales_dir, now):
 
 
 def test_missing_table_reads_as_empty(spark, folder):
-    assert read_table(spark, folder("none"), schemas.AGG_SALES).count() == 0
-    with pytest.raises(AnalysisException):
-        read_table(spark, folder("none"))
+    assert read_table(spark, folder("none"), schemas.AGG_SALES, missing_ok=True).count() == 0
+    for schema in (None, schemas.AGG_SALES):
+        with pytest.raises(AnalysisException):
+            read_table(spark, folder("none"), schema)
 
 
 def test_append_is_replay_safe(spark, folder):
@@ -120,9 +121,14 @@ def test_validate_and_load(spark, sales_dir, folder, now):
     assert raw_sales(spark, layout).count() == 4
     assert ordered(rejected_lines(spark, layout), "source_file", "batch") == [("a.csv", "batch_1"), ("b.csv", "batch_1")]
     again = validate_and_load(spark, sales_dir, folder("out"), "batch_2", now).first()
-    assert (again.log_id, again.total_records) == (2, 4)
-    assert raw_sales(spark, layout).count() == 8
-    assert raw_sales(spark, layout, "batch_2").count() == 4
+    assert (again.log_id, again.total_records) == (2, 0)
+    assert raw_sales(spark, layout).count() == 4
+    validate_and_load(spark, sales_dir, folder("out"), "batch_1", now)
+    assert raw_sales(spark, layout).count() == 4
+    forced = validate_and_load(spark, sales_dir, folder("out"), "batch_3", now, force=True).first()
+    assert forced.total_records == 4 and raw_sales(spark, layout).count() == 8
+    with pytest.raises(ValueError, match="other files"):
+        validate_and_load(spark, sales_dir + "/a.csv", folder("out"), "batch_1", now)
 
 
 def test_landing_reads_only_the_wanted_side(spark, sales_dir, folder, now):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SMALL, ordered, rows_of
 from monthline import schemas
@@ -12,7 +13,7 @@ from monthline.operators.features import agg_sales, clean_sales
 from monthline.parity import inputs as src
 from monthline.plans import train
 from monthline.plans.layout import Layout
-from monthline.plans.load import raw_sales, rejected_lines
+from monthline.plans.load import raw_sales, rejected_lines, validate_and_load
 from monthline.sources.tables import read_log, read_table
 from monthline.streaming.ingest import batch_handler, run_stream
 
@@ -43,6 +44,7 @@ def put(box, name, *lines):
 def run(spark, box, **options):
     options.setdefault("clock", Clock())
     options.setdefault("train", False)
+    options.setdefault("name", "stream")
     run_stream(spark, str(box / "in"), str(box / "out"), str(box / "offsets"), **options)
     return Layout(str(box / "out"))
 
@@ -65,7 +67,7 @@ def test_each_file_once_and_rejects_kept(spark, box):
 def test_no_loaded_rows_no_trigger(spark, box):
     put(box, "a.csv", "short,line")
     layout = run(spark, box)
-    assert read_table(spark, layout.trigger_log, schemas.TRIGGER_LOG).count() == 0
+    assert read_log(spark, layout.trigger_log, schemas.TRIGGER_LOG).count() == 0
     assert raw_sales(spark, layout).count() == 0
     assert rejected_lines(spark, layout).count() == 1
 
@@ -117,7 +119,7 @@ def test_two_triggers_train_compare_and_check_drift(spark, box):
     )
     assert decisions == [(1, None, "v20240102_000000"), (2, "v20240102_000000", "v20240103_000000")]
     drift = read_log(spark, layout.drift_metrics, schemas.DRIFT_METRICS)
-    assert ordered(drift.groupBy("batch").count()) == [("stream0", 5), ("stream1", 1)]
+    assert ordered(drift.groupBy("batch").count()) == [("stream-0", 5), ("stream-1", 1)]
     assert rows_of(drift.orderBy("drift_id"), "drift_id") == [(i,) for i in range(1, 7)]
     runs = read_log(spark, layout.runs, schemas.PIPELINE_RUNS).orderBy("run_id")
     count = train.stored_features(spark, layout).count()
@@ -137,7 +139,7 @@ def test_a_repeated_run_replaces_its_own_rows(spark, box):
         layout.prediction_log: schemas.PREDICTION_LOG,
     }
     first = {path: ordered(read_log(spark, path, schema)) for path, schema in tables.items()}
-    train.run_pipeline(spark, layout.root, datetime(2024, 1, 2), "stream0")
+    train.run_pipeline(spark, layout.root, datetime(2024, 1, 2), "stream-0")
     assert {path: ordered(read_log(spark, path, schema)) for path, schema in tables.items()} == first
     assert read_table(spark, layout.runs).count() == 1
 
@@ -179,12 +181,45 @@ def test_a_failing_step_is_logged(spark, box, monkeypatch):
 
 
 def test_handler_is_reusable(spark, box):
-    handle = batch_handler(str(box / "out"), Clock(), train=False)
-    lines = spark.createDataFrame(
-        [("B", "P", "S", "L", "Apr-23", "23-24", "1", "f.csv", None)],
-        "material_group string, material_description string, sold_state string, supply_location string, "
-        "month string, fy string, net_sales string, source_file string, rejected_line string",
-    )
+    handle = batch_handler(str(box / "out"), Clock(), train=False, name="s")
+    lines = [
+        spark.createDataFrame(
+            [("B", "P", "S", "L", "Apr-23", "23-24", "1", f"{name}.csv", f"/{name}.csv", 9, None, None)],
+            "material_group string, material_description string, sold_state string, supply_location string, month string, "
+            "fy string, net_sales string, source_file string, file_path string, file_size long, file_modified timestamp, rejected_line string",
+        ).withColumn("file_modified", F.lit("2024-01-01").cast("timestamp"))
+        for name in ("f", "g")
+    ]
     for batch in (0, 0, 1):
-        handle(lines, batch)
-    assert raw_sales(spark, Layout(str(box / "out"))).count() == 2
+        handle(lines[batch], batch)
+    handle(lines[0], 2)
+    layout = Layout(str(box / "out"))
+    assert ordered(raw_sales(spark, layout), "source_file") == [("f.csv",), ("g.csv",)]
+    with pytest.raises(ValueError, match="other files"):
+        handle(lines[1], 0)
+    with pytest.raises(ValueError, match="needs a name"):
+        batch_handler(str(box / "out"), Clock())(lines[0], 0)
+
+
+def test_streams_with_offsets_of_their_own_keep_their_rows(spark, box):
+    put(box, "a.csv", "B,P,S,L,Apr-23,23-24,1", "B,P,S,L,May-23,23-24,2")
+    layout = run(spark, box, name=None)
+    (box / "more").mkdir()
+    (box / "more" / "b.csv").write_text(HEADER + "B,P,S,L,Apr-23,23-24,3\n")
+    run_stream(spark, str(box / "more"), layout.root, str(box / "offsets2"), clock=Clock(), train=False)
+    run_stream(spark, str(box / "in"), layout.root, str(box / "offsets3"), clock=Clock(), train=False)
+    assert ordered(raw_sales(spark, layout), "net_sales") == [("1",), ("2",), ("3",)]
+    assert ordered(train.monthly_totals(spark, layout), "period", "transaction_count") == [("2023-04", 2), ("2023-05", 1)]
+
+
+def test_a_run_counts_what_was_loaded_by_hand(spark, box):
+    rows = src.keyed_raw_sales(spark, SMALL).selectExpr("*", "k % 4 lot")
+    src.append_sales_files(rows, str(box / "in"))
+    out = str(box / "out")
+    validate_and_load(spark, str(box / "in"), out, "one", datetime(2024, 1, 1))
+    run = train.run_pipeline(spark, out, datetime(2024, 1, 1), "r").first()
+    assert (run.status, run.records_processed) == ("SUCCESS", train.stored_features(spark, Layout(out)).count())
+    expected = agg_sales(clean_sales(src.raw_sales(spark, SMALL)))
+    assert ordered(train.monthly_totals(spark, Layout(out))) == ordered(expected)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        train.run_pipeline(spark, str(box / "nowhere"), datetime(2024, 1, 1), "r")
