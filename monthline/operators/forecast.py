@@ -93,14 +93,15 @@ def long_enough(split: DataFrame, min_rows: int = fixed.MIN_TRAINING_ROWS) -> Da
     return split.filter(F.col("n") >= min_rows)
 
 
-def fit_trend(train: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Linear trend per key: n_train, slope, intercept."""
-    parts = [column.alias(name) for name, column in _trend_parts().items()]
+def fit_trend(train: DataFrame, keys: Sequence[str], extra: dict[str, Column] | None = None) -> DataFrame:
+    """Linear trend per key: n_train, slope, intercept, and ``extra`` aggregates of the train rows."""
+    extra = extra or {}
+    parts = [column.alias(name) for name, column in (_trend_parts() | extra).items()]
     return (
         train.groupBy(*keys)
         .agg(*parts)
         .withColumns(_trend_columns())
-        .select(*keys, "n_train", "slope", "intercept")
+        .select(*keys, "n_train", "slope", "intercept", *extra)
     )
 
 
@@ -149,16 +150,35 @@ def forecast(
     The at most 12 factors of a key travel as one map, so frame and model meet in
     a single join on the keys.
     """
+    model = _with_factors(trend, season, keys).select(*keys, "slope", "intercept", "_factors")
+    return join_on_keys(frame, model, keys).withColumn("yhat", _seasonal_value()).drop("slope", "intercept", "_factors")
+
+
+def _with_factors(trend: DataFrame, season: DataFrame, keys: Sequence[str]) -> DataFrame:
     factors = season.groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("month", "month_factor"))).alias("_factors")
     )
-    model = join_on_keys(trend, factors, keys, "left").select(*keys, "slope", "intercept", "_factors")
-    factor = F.coalesce(F.try_element_at("_factors", F.month("ds")), F.lit(1.0))
-    return (
-        join_on_keys(frame, model, keys)
-        .withColumn("yhat", _trend_value() * factor)
-        .drop("slope", "intercept", "_factors")
+    return join_on_keys(trend, factors, keys, "left")
+
+
+def _seasonal_value() -> Column:
+    return _trend_value() * F.coalesce(F.try_element_at("_factors", F.month("ds")), F.lit(1.0))
+
+
+def forecast_ahead(train: DataFrame, keys: Sequence[str], periods: int | Column) -> DataFrame:
+    """(keys, ds, yhat) for the months after each series' last train month.
+
+    The trend brings the last month and the number of periods along, so the
+    months come from the model rows and the series is read once. ``periods`` is a
+    number or a column of the train rows, the same all over a series.
+    """
+    count = F.lit(periods) if isinstance(periods, int) else periods
+    trend = fit_trend(train, keys, {"_end": F.max("ds"), "_periods": F.max(count).cast("int")})
+    model = _with_factors(trend, fit_month_seasonality(train, keys), keys)
+    months = model.select(
+        *keys, "slope", "intercept", "_factors", F.explode(dates.months_after(F.col("_end"), F.col("_periods"))).alias("ds")
     )
+    return months.select(*keys, "ds", _seasonal_value().alias("yhat"))
 
 
 def align_forecast(
@@ -206,11 +226,9 @@ def score_holdout(
     split = long_enough(split, min_rows)
     train = split.filter("is_train")
     test = split.filter(~F.col("is_train")).select(*keys, "n_train", "ds", "y")
-    trend, season = fit_trend_seasonal(train, keys)
     if align == "date":
-        return forecast(test, trend, season, keys)
-    frame = future_frame(train.withColumn("_test", F.col("n") - F.col("n_train")), keys, "_test")
-    return align_forecast(forecast(frame, trend, season, keys), test, keys, align)
+        return forecast(test, *fit_trend_seasonal(train, keys), keys)
+    return align_forecast(forecast_ahead(train, keys, F.col("n") - F.col("n_train")), test, keys, align)
 
 
 def backtest(

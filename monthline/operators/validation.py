@@ -185,8 +185,13 @@ def apply_rules(raw: DataFrame, rules: DataFrame) -> DataFrame:
     return found.select("rule_name", F.coalesce("_failing", "_rows").alias("failing_rows"))
 
 
+def quarantine_sides(raw: DataFrame) -> DataFrame:
+    """All rows with their flags and ``side`` (good or bad), for one pass that writes both sides by ``side``."""
+    return flag_rows(raw).withColumn("side", F.when(F.col("is_valid"), F.lit("good")).otherwise(F.lit("bad"))).drop("is_valid")
+
+
 def quarantine(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid rows as they came, invalid rows with their flags)."""
+    """(valid rows as they came, invalid rows with their flags); reading both scans ``raw`` twice."""
     flagged = flag_rows(raw)
     good = flagged.filter("is_valid").select(*raw.columns)
     bad = flagged.filter(~F.col("is_valid")).drop("is_valid")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from monthline.operators.features import FEATURE_ORDER, SERIES, feature_preview, series_lengths
-from monthline.operators.forecast import align_forecast, error_metrics, forecast, fit_trend_seasonal, future_frame, time_split
+from monthline.operators.forecast import align_forecast, error_metrics, forecast_ahead, long_enough, time_split
 from monthline.operators.latest import latest, latest_with_status
 from monthline.operators.monitoring import distribution_stats, pipeline_summary
 from monthline.operators.registry import champion_challenger
@@ -202,11 +202,8 @@ def win_time_split(spark, sf):
     ),
 )
 def align_forecast_actual(spark, sf):
-    split = time_split(src.month_series(spark, sf), SERIES)
-    train = split.filter("is_train")
-    trend, season = fit_trend_seasonal(train, SERIES)
-    frame = future_frame(train.withColumn("_test", F.col("n") - F.col("n_train")), SERIES, "_test")
-    pred = forecast(frame, trend, season, SERIES)
+    split = long_enough(time_split(src.month_series(spark, sf), SERIES))
+    pred = forecast_ahead(split.filter("is_train"), SERIES, F.col("n") - F.col("n_train"))
     actual = split.filter(~F.col("is_train")).select(*SERIES, "ds", "y")
     return align_forecast(pred, actual, SERIES, "position").select(
         *SERIES, "ds", "forecast_ds", F.round("y", 2).alias("y"), F.round("yhat", 3).alias("yhat")

@@ -10,7 +10,7 @@ from monthline.parity import inputs as src
 from monthline.parity.catalog import query
 from monthline.parity.inputs import NOW, sql_over
 from monthline.session import scratch_path
-from monthline.sources.tables import read_table, replace_table
+from monthline.sources.tables import read_replaced, replace_table
 
 FEATURE_SQL = sql_over(
     "features",
@@ -63,7 +63,7 @@ def stored(spark, sf):
     path = scratch_path(spark, "feature-store")
     replace_table(feature_store(src.agg(spark, sf), now=NOW), path)
     replace_table(feature_store(src.agg(spark, sf), now=NOW), path)
-    rows = read_table(spark, path, schemas.FEATURE_STORE)
+    rows = read_replaced(spark, path, schemas.FEATURE_STORE)
     return rows.withColumn("rolling_avg_3", F.round("rolling_avg_3", 4)).drop("created_at")
 
 

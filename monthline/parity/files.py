@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
+from monthline import schemas
 from monthline.parity import inputs as src
 from monthline.parity.catalog import query
 from monthline.parity.inputs import FIELDS, NOW, sql_over
 from monthline.plans.layout import Layout
 from monthline.plans.load import raw_sales as landed_sales
 from monthline.plans.load import validate_and_load
-from monthline.plans.train import aggregate_batch, monthly_totals, run_pipeline, stored_registry
+from monthline.plans.train import monthly_totals, run_pipeline, stored_registry
 from monthline.session import scratch_path
-from monthline.sources.sales_csv import REJECTED_LINE, read_sales_csv, with_load_ts
-from monthline.sources.tables import read_table
+from monthline.sources.sales_csv import REJECTED_LINE, is_rejected, read_sales_csv, scan_lines, with_load_ts
+from monthline.sources.tables import read_log, read_table
 from monthline.streaming.ingest import run_stream
 
 TRIMMED = """material_group, material_description, trim(sold_state) AS sold_state, supply_location,
@@ -65,10 +67,10 @@ def csv_trim(spark, sf):
     ),
 )
 def csv_reject_split(spark, sf):
-    good, bad = read_sales_csv(spark, src.write_sales_files(spark, sf, broken=True))
-    sides = good.select(F.lit("accepted").alias("side"), F.lit(None).cast("string").alias("line")).unionByName(
-        bad.select(F.lit("rejected").alias("side"), F.col(REJECTED_LINE).alias("line"))
-    )
+    """Both sides from one scan of the files."""
+    lines = scan_lines(spark, src.write_sales_files(spark, sf, broken=True))
+    side = F.when(is_rejected(), F.lit("rejected")).otherwise(F.lit("accepted"))
+    sides = lines.select(side.alias("side"), F.col(REJECTED_LINE).alias("line"))
     return sides.groupBy("side", "line").agg(F.count(F.lit(1)).alias("lines"))
 
 
@@ -136,6 +138,55 @@ def stream_append_only(spark, sf):
     return landed_sales(spark, layout).agg(F.count(F.lit(1)).alias("total_records"))
 
 
+@query("stream_two_sources", sql_over("raw_sales", select=f"SELECT {TRIMMED} FROM raw_sales"))
+def stream_two_sources(spark, sf):
+    """Two streams with offsets of their own write into one folder; the second also offers a file again."""
+    out = scratch_path(spark, "two-streams")
+    for lots in ((0, 1), (2, 3)):
+        folder = src.write_sales_files(spark, sf, lots=lots)
+        for _ in range(2):  # the second stream has lost its offsets
+            run_stream(spark, folder, out, scratch_path(spark, "offsets"), clock=lambda: NOW, train=False)
+    return landed_sales(spark, Layout(out)).select(*FIELDS)
+
+
+@query("load_once", sql_over("raw_sales", select=f"SELECT {TRIMMED} FROM raw_sales"))
+def load_once(spark, sf):
+    """The same folder loaded under two batch names counts once."""
+    out, folder = scratch_path(spark, "loaded-twice"), src.write_sales_files(spark, sf)
+    for batch in ("one", "two"):
+        validate_and_load(spark, folder, out, batch, NOW)
+    return landed_sales(spark, Layout(out)).select(*FIELDS)
+
+
+def _features_of(lots: str) -> str:
+    """Count of the feature rows that the file lots chosen by a condition give."""
+    whole = sql_over("features", select="SELECT count(*) AS n FROM features")
+    return whole.replace("SELECT * EXCLUDE (k) FROM keyed_raw", f"SELECT * EXCLUDE (k) FROM keyed_raw WHERE {lots}")
+
+
+@query(
+    "stream_trigger_pipeline",
+    f"SELECT 1 AS run, 'SUCCESS' AS status, (SELECT n FROM ({_features_of('k % 4 < 2')})) AS records_processed, 1 AS decided "
+    f"UNION ALL SELECT 2, 'SUCCESS', (SELECT n FROM ({_features_of('true')})), 2",
+)
+def stream_trigger_pipeline(spark, sf):
+    """Two lots of files each start a full run, a trigger without new files starts none."""
+    out, checkpoint, folder = (scratch_path(spark, name) for name in ("trigger-out", "trigger-offsets", "trigger-in"))
+    rows = src.keyed_raw_sales(spark, sf).withColumn("lot", F.col("k") % 4)
+    times = iter([NOW + timedelta(days=k) for k in range(9)])
+    for lots in ((0, 1), (2, 3), ()):
+        if lots:
+            src.append_sales_files(rows.filter(F.col("lot").isin(*lots)), folder)
+        run_stream(spark, folder, out, checkpoint, clock=lambda: next(times))
+    layout = Layout(out)
+    runs = read_log(spark, layout.runs, schemas.PIPELINE_RUNS).withColumn(
+        "run", F.row_number().over(Window.orderBy("run_time"))
+    )
+    made = read_log(spark, layout.comparison_log, schemas.MODEL_COMPARISON_LOG)
+    decided = made.groupBy("batch").agg(F.max("comparison_id").cast("int").alias("decided"))
+    return runs.join(decided, "batch").select("run", "status", "records_processed", "decided")
+
+
 @query("stream_monthly_totals", sql_over("agg_sales", select="SELECT * FROM agg_sales"))
 def stream_monthly_totals(spark, sf):
     return monthly_totals(spark, stream_lots(spark, sf))
@@ -155,28 +206,26 @@ def trigger_log(spark, sf):
 
 
 def full_chain(spark, sf):
-    """Load one batch of files and run features, training, comparison and drift on it."""
+    """Load one batch of files and run features, training, comparison and drift on what was loaded."""
     out = scratch_path(spark, "full-run")
     validate_and_load(spark, src.write_sales_files(spark, sf), out, "first", NOW)
-    aggregate_batch(spark, Layout(out), "first")
     return Layout(out), run_pipeline(spark, out, NOW, "first")
 
 
-@query(
-    "full_run",
-    sql_over(
-        "features",
-        select=f"SELECT {src.NOW_SQL} AS run_time, 'FULL_PIPELINE' AS phase, 'SUCCESS' AS status, "
-        "count(*) AS records_processed FROM features",
-    ),
+RUN_SQL = sql_over(
+    "features",
+    select=f"SELECT {src.NOW_SQL} AS run_time, 'FULL_PIPELINE' AS phase, 'SUCCESS' AS status, "
+    "count(*) AS records_processed FROM features",
 )
+
+
+@query("pipeline_run_record", RUN_SQL)
+@query("full_run", RUN_SQL)
 def full_run(spark, sf):
     return full_chain(spark, sf)[1].select("run_time", "phase", "status", "records_processed")
 
 
-@query(
-    "full_run_model",
-    sql_over(
+MODEL_SQL = sql_over(
         "global_scored",
         select="""
         SELECT 'SALES_TREND_SEASONAL' AS model_name, 'v20010815_083000' AS model_version, n_train AS training_records,
@@ -184,8 +233,11 @@ def full_run(spark, sf):
           round(avg(abs((y - yhat) / nullif(y, 0))) * 100, 3) AS mape, 'PRODUCTION' AS status,
           'First model - auto-promoted to PRODUCTION' AS notes
         FROM global_scored GROUP BY n_train""",
-    ),
 )
+
+
+@query("pipeline_chain", MODEL_SQL)
+@query("full_run_model", MODEL_SQL)
 def full_run_model(spark, sf):
     """The registry after the first run: its only model was promoted."""
     layout, _ = full_chain(spark, sf)

@@ -10,8 +10,7 @@ from monthline.operators.forecast import (
     enough_history,
     fit_month_seasonality,
     fit_trend,
-    fit_trend_seasonal,
-    forecast,
+    forecast_ahead,
     future_frame,
     global_series,
     long_enough,
@@ -130,9 +129,7 @@ def frame(spark, sf):
     ),
 )
 def year_ahead(spark, sf):
-    train = fit_rows(spark, sf)
-    models = fit_trend_seasonal(train, SERIES)
-    return rounded(forecast(future_frame(train, SERIES, 12), *models, SERIES), "yhat")
+    return rounded(forecast_ahead(fit_rows(spark, sf), SERIES, 12), "yhat")
 
 
 @query(

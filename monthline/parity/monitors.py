@@ -78,11 +78,13 @@ def health(spark, sf):
     return model_health(src.registry(spark, sf), NOW)
 
 
+@query("pipeline_summary", SUMMARY_SQL)
 @query("metric_summary", SUMMARY_SQL)
 def metric_summary(spark, sf):
     return summary(spark, sf)
 
 
+@query("pipeline_view", SUMMARY_SQL)
 @query("metric_summary_view", SUMMARY_SQL)
 def metric_summary_view(spark, sf):
     name = summary_view(spark, "metric_summary", summary(spark, sf))

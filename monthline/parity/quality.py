@@ -10,7 +10,7 @@ from monthline.operators.validation import (
     check_counts,
     failing,
     flag_rows,
-    quarantine,
+    quarantine_sides,
     summarise,
     total_counts,
     validate,
@@ -20,7 +20,7 @@ from monthline.parity.catalog import query
 from monthline.parity.inputs import NOW, sql_over
 from monthline.session import scratch_path
 from monthline.sources.sales_csv import read_sales_csv
-from monthline.sources.tables import load_rules, read_table, rules_frame
+from monthline.sources.tables import load_rules, read_replaced, rules_frame
 
 FLAGS_SQL = """material_group IS NULL AS null_material_group, sold_state IS NULL AS null_sold_state,
   net_sales IS NULL AS null_net_sales, month IS NULL AS null_month, fy IS NULL AS null_fy,
@@ -136,7 +136,7 @@ def truncate_reload_rules(spark, sf):
     path = scratch_path(spark, "rules")
     load_rules(spark, [("OLD", "NULL_CHECK", "FY", "FY IS NOT NULL")], path)
     load_rules(spark, fixed.VALIDATION_RULES, path)
-    return apply_rules(src.raw_sales(spark, sf), read_table(spark, path))
+    return apply_rules(src.raw_sales(spark, sf), read_replaced(spark, path))
 
 
 @query(
@@ -162,7 +162,4 @@ def rule_net_sales_positive(spark, sf):
 )
 def quarantine_split(spark, sf):
     raw = src.raw_sales(spark, sf)
-    good, bad = quarantine(raw)
-    return good.withColumn("side", F.lit("good")).unionByName(
-        bad.select(*raw.columns).withColumn("side", F.lit("bad"))
-    )
+    return quarantine_sides(raw).select(*raw.columns, "side")

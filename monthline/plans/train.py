@@ -43,6 +43,7 @@ from monthline.sources.tables import (
     BATCH,
     append_log,
     read_log,
+    read_replaced,
     read_table,
     replace_table,
     with_log_id,
@@ -74,12 +75,12 @@ def refresh_features(spark: SparkSession, layout: Layout, now: datetime | None =
     """Add what has been landed since, rebuild the feature table and return its row count."""
     aggregate_pending(spark, layout)
     store = feature_store(monthly_totals(spark, layout), now=now)
-    replace_table(store, layout.feature_store, settled=True)
+    replace_table(store, layout.feature_store)
     return stored_features(spark, layout).count()
 
 
 def stored_features(spark: SparkSession, layout: Layout) -> DataFrame:
-    return read_table(spark, layout.feature_store, schemas.FEATURE_STORE)
+    return read_replaced(spark, layout.feature_store, schemas.FEATURE_STORE)
 
 
 def stored_registry(spark: SparkSession, layout: Layout) -> DataFrame:

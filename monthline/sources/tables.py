@@ -7,6 +7,7 @@ replayed micro-batch therefore never adds its rows twice.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -16,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from monthline import schemas
 from monthline.functions import fixed
 from monthline.operators.row_id import nulls_last, with_row_id
-from monthline.session import freeze
 
 BATCH = "batch"
 
@@ -52,18 +52,36 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return read_table(spark, path, with_batch, missing_ok=True)
 
 
-def replace_table(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), settled: bool = False
-) -> None:
-    """Rebuild a derived table.
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Rebuild a derived table as a new version and point readers to it.
 
-    An overwrite deletes the old files before the new rows are computed, which
-    loses the table if the plan reads it or a task fails for good. The rows are
-    therefore frozen first; ``settled`` skips that for a plan that already starts
-    from frozen rows.
+    The version is complete before the pointer names it, so the plan may read the
+    table it rebuilds, a failure leaves the old version, and no reader meets a
+    half-written one. The version before stays for readers that have begun; older
+    ones are removed.
     """
-    rows = df if settled else freeze(df)
-    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    spark = df.sparkSession
+    made = f"{time.time_ns():020d}"
+    df.write.partitionBy(*partition_by).parquet(f"{path}/{_VERSIONS}/v{made}")
+    spark.createDataFrame([(made,)], _POINTER).coalesce(1).write.mode("append").parquet(f"{path}/{_CURRENT}")
+    older = sorted(r["made"] for r in _pointers(spark, path).collect())[:-2]
+    for version in older:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_VERSIONS}/v{version}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+_VERSIONS, _CURRENT = "versions", "current"
+_POINTER = "made string"
+
+
+def _pointers(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_POINTER).parquet(f"{path}/{_CURRENT}")
+
+
+def read_replaced(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The newest version of a table that ``replace_table`` writes."""
+    newest = _pointers(spark, path).agg(F.max("made")).first()[0]
+    return read_table(spark, f"{path}/{_VERSIONS}/v{newest}", schema)
 
 
 def append_log(df: DataFrame, path: str, batch: str | None = None) -> str:

@@ -12,7 +12,7 @@ from monthline import schemas
 from monthline.plans.layout import Layout
 from monthline.plans.load import raw_sales, rejected_lines, validate_and_load
 from monthline.sources.sales_csv import read_sales_csv, with_load_ts
-from monthline.sources.tables import append_log, read_log, read_table, replace_table, with_log_id
+from monthline.sources.tables import append_log, read_log, read_replaced, read_table, replace_table, with_log_id
 
 HEADER = "group,description,state,location,month,fy,sales\n"
 FILES = {
@@ -102,15 +102,18 @@ def test_log_ids_go_on_from_other_batches(spark, folder, few):
 
 def test_a_table_can_be_rebuilt_from_itself(spark, folder):
     replace_table(spark.range(5), folder("t"))
-    replace_table(read_table(spark, folder("t")).filter("id > 2"), folder("t"))
-    assert ordered(read_table(spark, folder("t"))) == [(3,), (4,)]
+    replace_table(read_replaced(spark, folder("t")).filter("id > 2"), folder("t"))
+    begun = read_replaced(spark, folder("t"))
+    replace_table(spark.range(1), folder("t"))
+    assert ordered(begun) == [(3,), (4,)] and ordered(read_replaced(spark, folder("t"))) == [(0,)]
+    assert len(os.listdir(folder("t") + "/versions")) == 2
 
 
 def test_a_failing_rebuild_leaves_the_table(spark, folder):
     replace_table(spark.range(5), folder("t"))
     with pytest.raises(Exception, match="no luck"):
         replace_table(spark.range(5).selectExpr("assert_true(id < 3, 'no luck') id"), folder("t"))
-    assert read_table(spark, folder("t")).count() == 5
+    assert read_replaced(spark, folder("t")).count() == 5
 
 
 def test_validate_and_load(spark, sales_dir, folder, now):

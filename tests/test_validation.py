@@ -19,7 +19,7 @@ from monthline.operators.validation import (
     validate,
     validation_log_rows,
 )
-from monthline.sources.tables import load_rules, read_table, rules_frame
+from monthline.sources.tables import load_rules, read_replaced, rules_frame
 
 GOOD = ("b1", "p", "s", "l", "Apr-23", "23-24", "1,000.50")
 
@@ -155,7 +155,7 @@ def test_many_rules_are_one_pass(spark):
 def test_reloading_rules_replaces_them(spark, folder):
     load_rules(spark, [("OLD", "NULL_CHECK", "FY", "FY IS NOT NULL")], folder("rules"))
     load_rules(spark, fixed.VALIDATION_RULES, folder("rules"))
-    stored = read_table(spark, folder("rules"), schemas.VALIDATION_RULES).orderBy("rule_id")
+    stored = read_replaced(spark, folder("rules"), schemas.VALIDATION_RULES).orderBy("rule_id")
     assert rows_of(stored, "rule_id", "rule_name") == [(i, r[0]) for i, r in enumerate(fixed.VALIDATION_RULES, 1)]
 
 
