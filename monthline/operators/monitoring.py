@@ -95,6 +95,43 @@ def drift_check(
     )
 
 
+def drift_step(
+    features: DataFrame, drift_log: DataFrame, by: Sequence[str], now: datetime | None = None
+) -> DataFrame:
+    """One check of every key: the mean against its baseline, or all five metrics as baseline of a new key.
+
+    The features are read once; keys that the log does not know get their baseline now.
+    """
+    stats = distribution_stats(features, by).filter("record_count > 0")
+    baselines = (
+        drift_log.filter(F.col("metric_name") == LEAD_METRIC)
+        .groupBy(*by)
+        .agg(newest(F.struct("baseline_value"), None, "check_date", "drift_id").alias("_baseline"))
+    )
+    paired = join_on_keys(stats, baselines, by, "left")
+    mean, base = F.col("y_mean"), F.col("_baseline.baseline_value")
+    score = drift_percent(mean, base)
+    labels = [(fixed.DRIFT_LABELS[0][0], fixed.DRIFT_LABELS[0][1]), (fixed.DRIFT_LABELS[1][0], fixed.DRIFT_LABELS[1][1])]
+
+    def row(name: str, baseline: Column, current: Column, drift: Column, status: Column) -> Column:
+        return F.struct(
+            F.lit(name).alias("metric_name"),
+            baseline.cast("double").alias("baseline_value"),
+            current.cast("double").alias("current_value"),
+            drift.alias("drift_score"),
+            status.alias("drift_status"),
+        )
+
+    first = F.array(
+        *[row(name, F.col(name.lower()), F.col(name.lower()), F.lit(0.0), F.lit(fixed.DRIFT_BASELINE)) for name in fixed.DRIFT_METRICS]
+    )
+    later = F.array(row(LEAD_METRIC, base, mean, score, label_below(score, labels, fixed.DRIFT_WORST)))
+    rows = paired.select(*by, F.inline(F.when(F.col("_baseline").isNull(), first).otherwise(later)))
+    return rows.select(
+        *by, moment(now).alias("check_date"), "metric_name", "baseline_value", "current_value", "drift_score", "drift_status"
+    )
+
+
 def model_health(
     registry: DataFrame,
     now: datetime | None = None,

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from monthline.functions import fixed
 from monthline.operators.forecast import time_split, trend_month
@@ -111,3 +111,10 @@ def fit_piecewise(
     return split.groupBy(*keys).applyInPandas(
         lambda pdf: _fit_one(pdf, changepoints, fourier_order, ridge), schema
     )
+
+
+def score_piecewise(df: DataFrame, keys: Sequence[str], min_rows: int = fixed.MIN_TRAINING_ROWS) -> DataFrame:
+    """The held-out months: (keys, n_train, ds, y, yhat)."""
+    found = fit_piecewise(df, keys, min_rows=min_rows)
+    n_train = F.count_if("is_train").over(Window.partitionBy(*keys))
+    return found.withColumn("n_train", n_train).filter(~F.col("is_train")).select(*keys, "n_train", "ds", "y", "yhat")

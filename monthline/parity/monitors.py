@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from monthline.operators import reports
 from monthline.operators.features import SERIES
-from monthline.operators.monitoring import drift_baseline, drift_check, health_run, model_health, summary_view
+from monthline.operators.monitoring import drift_baseline, drift_check, drift_step, health_run, model_health, summary_view
 from monthline.parity import inputs as src
 from monthline.parity.aggregates import SUMMARY_SQL, summary
 from monthline.parity.catalog import query
@@ -73,6 +73,35 @@ def check_by_series(spark, sf):
     return rounded_drift(drift_check(features, src.baseline_log(features, SERIES), SERIES, now=NOW))
 
 
+LATE_BRAND = "BRAND#11"
+
+
+@query(
+    "drift_new_series",
+    sql_over(
+        "features",
+        select=f"""
+        SELECT s.brand, s.state, {NOW_SQL} AS check_date, metric_name,
+          {near_sql("CASE WHEN b.known THEN b ELSE v END")} AS baseline_value, {near_sql("v")} AS current_value,
+          {near_sql("CASE WHEN b.known THEN abs((v - b) / nullif(b, 0)) * 100 ELSE 0 END")} AS drift_score,
+          CASE WHEN b.known IS NULL THEN 'BASELINE' WHEN abs((v - b) / nullif(b, 0)) * 100 < 10 THEN 'NORMAL'
+            WHEN abs((v - b) / nullif(b, 0)) * 100 < 25 THEN 'WARNING' ELSE 'CRITICAL' END AS drift_status
+        FROM (SELECT brand, state, unnest(['Y_MEAN', 'Y_STD', 'Y_MIN', 'Y_MAX', 'RECORD_COUNT']) AS metric_name,
+                unnest([avg(y), stddev_samp(y), min(y), max(y), CAST(count(*) AS DOUBLE)]) AS v
+              FROM features GROUP BY brand, state) s
+        LEFT JOIN (SELECT brand, state, avg(y) AS b, true AS known FROM features
+                   WHERE ds < DATE '{BASELINE_BEFORE}' AND brand IS DISTINCT FROM '{LATE_BRAND}' GROUP BY brand, state) b
+          ON s.brand IS NOT DISTINCT FROM b.brand AND s.state IS NOT DISTINCT FROM b.state
+        WHERE b.known IS NULL OR metric_name = 'Y_MEAN'""",
+    ),
+)
+def drift_new_series(spark, sf):
+    """A second check in which some series appear for the first time and get their baseline."""
+    features = src.features(spark, sf)
+    known = src.baseline_log(features.filter(~F.col("brand").eqNullSafe(LATE_BRAND)), SERIES)
+    return rounded_drift(drift_step(features, known, SERIES, NOW))
+
+
 @query("model_health", sql_over("registry", select=HEALTH_SQL))
 def health(spark, sf):
     return model_health(src.registry(spark, sf), NOW)

@@ -52,6 +52,10 @@ class Layout:
     def drift_metrics(self) -> str:
         return self._path("monitoring", "drift_metrics")
 
+    @property
+    def series_drift(self) -> str:
+        return self._path("monitoring", "series_drift")
+
     @property
     def runs(self) -> str:
         return self._path("monitoring", "runs")

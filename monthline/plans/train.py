@@ -22,6 +22,7 @@ from monthline.operators.monitoring import (
     LEAD_METRIC,
     drift_baseline,
     drift_check,
+    drift_step,
     health_run,
     model_health,
     pipeline_summary,
@@ -36,6 +37,7 @@ from monthline.operators.registry import (
     model_name,
     registry_events,
 )
+from monthline.operators.piecewise import score_piecewise
 from monthline.plans.layout import Layout
 from monthline.plans.load import landed_files, raw_sales
 from monthline.session import freeze
@@ -49,7 +51,9 @@ from monthline.sources.tables import (
     with_log_id,
 )
 
-GLOBAL_MODEL = "SALES_TREND_SEASONAL"
+TREND_SEASONAL, PIECEWISE = "TREND_SEASONAL", "PIECEWISE"
+#: Model form -> held-out months with their forecasts.
+MODELS = {TREND_SEASONAL: score_holdout, PIECEWISE: score_piecewise}
 CANDIDATE_STEP, DECISION_STEP = 0, 1
 
 
@@ -107,25 +111,26 @@ def train_models(
     batch: str,
     now: datetime,
     by: Sequence[str] = (),
+    model: str = TREND_SEASONAL,
 ) -> bool:
     """Backtest the global series (or every series in ``by``) and register candidates.
 
     Returns False and writes nothing when there are too few feature rows. The
     global series is then fitted over the periods there are; of the series in ``by``
-    those with enough rows of their own are.
+    those with enough rows of their own are. ``model`` is the model form.
     """
     features = stored_features(spark, layout)
     if not enough_history(features, []).take(1):
         return False
     version = _version(now)
     if by:
-        series = features.select(*by, "ds", "y", model_name(GLOBAL_MODEL, by).alias("model_name"))
+        series = features.select(*by, "ds", "y", model_name(f"SALES_{model}", by).alias("model_name"))
     else:
-        series = global_series(features).withColumn("model_name", F.lit(GLOBAL_MODEL))
+        series = global_series(features).withColumn("model_name", F.lit(f"SALES_{model}"))
     keys = ["model_name", *by]
-    scored = freeze(score_holdout(freeze(series), keys, min_rows=fixed.MIN_TRAINING_ROWS if by else 1))
+    scored = freeze(MODELS[model](freeze(series), keys, min_rows=fixed.MIN_TRAINING_ROWS if by else 1))
     events = _events_before(spark, layout, batch)
-    rows = candidate_rows(error_metrics(scored, [*keys, "n_train"]), F.col("model_name"), version, now)
+    rows = candidate_rows(error_metrics(scored, [*keys, "n_train"]), F.col("model_name"), version, now, model)
     candidates = with_log_id(rows, events, "model_id", ["model_name"], batch)
     append_log(registry_events(candidates, CANDIDATE_STEP, now), layout.model_events, batch)
 
@@ -163,6 +168,14 @@ def check_drift(spark: SparkSession, layout: Layout, batch: str, now: datetime)
     append_log(numbered.select(*schemas.DRIFT_METRICS.names), layout.drift_metrics, batch)
 
 
+def check_series_drift(spark: SparkSession, layout: Layout, batch: str, now: datetime) -> None:
+    """Every series against its own baseline; series that are new get one."""
+    log = read_log(spark, layout.series_drift, schemas.SERIES_DRIFT).filter(F.col(BATCH) != batch)
+    rows = freeze(drift_step(stored_features(spark, layout), log, SERIES, now))
+    numbered = with_log_id(rows, log, "drift_id", [*SERIES, "metric_name"], batch)
+    append_log(numbered.select(*schemas.SERIES_DRIFT.names), layout.series_drift, batch)
+
+
 def _log_run(
     spark: SparkSession, layout: Layout, record: DataFrame, batch: str, few: bool = True
 ) -> None:
@@ -193,6 +206,7 @@ def run_pipeline(
     now: datetime | None = None,
     batch: str | None = None,
     by: Sequence[str] = (),
+    model: str = TREND_SEASONAL,
 ) -> DataFrame:
     """Features, training, comparison and drift in turn; returns the run-log row.
 
@@ -205,9 +219,10 @@ def run_pipeline(
     started = time.monotonic()
     try:
         records = refresh_features(spark, layout, now)
-        train_models(spark, layout, batch, now, by)
+        train_models(spark, layout, batch, now, by, model)
         compare_and_promote(spark, layout, batch, now)
         check_drift(spark, layout, batch, now)
+        check_series_drift(spark, layout, batch, now)
     except Exception as problem:
         _log_full_run(spark, layout, batch, now, "FAILED", None, started, str(problem))
         raise

@@ -146,6 +146,9 @@ DRIFT_METRICS = _struct(
     drift_status=_text,
 )
 
+#: The same per series.
+SERIES_DRIFT = T.StructType([T.StructField("brand", _text), T.StructField("state", _text), *DRIFT_METRICS.fields])
+
 PIPELINE_RUNS = _struct(
     run_id=_whole,
     run_time=_moment,

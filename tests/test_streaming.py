@@ -223,3 +223,21 @@ def test_a_run_counts_what_was_loaded_by_hand(spark, box):
     assert ordered(train.monthly_totals(spark, Layout(out))) == ordered(expected)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         train.run_pipeline(spark, str(box / "nowhere"), datetime(2024, 1, 1), "r")
+
+
+def test_piecewise_models_are_trained_and_new_series_get_a_baseline(spark, box):
+    rows = src.keyed_raw_sales(spark, SMALL).selectExpr("*", "k % 4 lot")
+    late = "material_group in ('brand#11', 'brand#12')"
+    src.append_sales_files(rows.filter(f"not coalesce({late}, false)"), str(box / "in"))
+    out, clock = str(box / "out"), Clock()
+    for batch in ("one", "two"):
+        validate_and_load(spark, str(box / "in"), out, batch, clock.now)
+        train.run_pipeline(spark, out, clock(), batch, model=train.PIECEWISE)
+        src.append_sales_files(rows.filter(late), str(box / "in"))
+    layout = Layout(out)
+    models = train.stored_registry(spark, layout)
+    assert rows_of(models.select("model_name", "model_type").distinct()) == [("SALES_PIECEWISE", "PIECEWISE")]
+    drift = read_log(spark, layout.series_drift, schemas.SERIES_DRIFT)
+    second = drift.filter("batch = 'two'").groupBy(F.expr("drift_status = 'BASELINE'"), F.expr("brand in ('BRAND#11', 'BRAND#12')")).count()
+    assert {tuple(r)[:2] for r in second.collect() if r[1] is not None} == {(True, True), (False, False)}
+    assert drift.select("drift_id").distinct().count() == drift.count()
