@@ -20,6 +20,7 @@ BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 #: Bytes of text that are handled at once; a longer text is a block of its own.
 BLOCK_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -34,7 +35,7 @@ def _powers(base: int, n: int) -> np.ndarray:
     while len(have) < n:
         step = np.uint64(pow(base, len(have), 1 << 64))
         have = np.concatenate([have, have * step])
-    kept["powers", base] = have[: 8 * BLOCK_BYTES]
+    kept["powers", base] = have[: 2 * PIECE_BYTES]
     return have[:n]
 
 
@@ -78,14 +79,25 @@ def words_of(texts: pa.Array) -> Words:
     if texts.null_count:
         texts = texts.fill_null("")
     n = len(texts)
-    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + n + 1]
-    low, high = (int(offsets[0]), int(offsets[-1])) if n else (0, 0)
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + n + 1] if n else np.zeros(1, np.int64)
+    low, high = int(offsets[0]), int(offsets[-1])
     buffer = texts.buffers()[2]
     if high == low or buffer is None:
-        empty = np.zeros(0, dtype=np.int64)
-        return Words(np.zeros(0, np.uint64), np.zeros(n + 1, np.int64), empty, empty, np.zeros(0, np.uint8))
+        nothing = np.zeros(0, dtype=np.int64)
+        return Words(np.zeros(0, np.uint64), np.zeros(n + 1, np.int64), nothing, nothing, np.zeros(0, np.uint8))
     data = _LOWER[np.frombuffer(buffer, dtype=np.uint8)[low:high]]
     offsets = offsets - low
+    # Whole texts of about a megabyte at a time: the arrays of eight bytes per byte stay small.
+    cuts = np.unique(np.searchsorted(offsets, np.arange(0, len(data), PIECE_BYTES), "right") - 1)
+    found = [_pieces(data, offsets[a : b + 1]) for a, b in zip(cuts, [*cuts[1:], n], strict=True)]
+    hashes, begin, end = (np.concatenate(x) for x in zip(*found, strict=True))
+    return Words(hashes, np.searchsorted(begin, offsets), begin, end, data)
+
+
+def _pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, begin, end) of the words of the texts that lie between ``offsets``."""
+    low = int(offsets[0])
+    data, offsets = data[low : int(offsets[-1])], offsets - low
     inside = _IS_WORD[data]
     starts = inside.copy()
     starts[1:] &= ~inside[:-1]
@@ -100,8 +112,7 @@ def words_of(texts: pa.Array) -> Words:
     sums[0] = 0
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(BASE, len(data)), out=sums[1:])
     hashes = mix((sums[end] - sums[begin]) * _powers(INVERSE, len(data))[begin])
-    first = np.searchsorted(begin, offsets)
-    return Words(hashes, first, begin, end, data)
+    return hashes, begin + low, end + low
 
 
 def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -120,7 +131,7 @@ def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     multiplier = np.uint64(BASE)
     for k in range(size):
         rolled *= multiplier
-        rolled[: n - k] += words.hashes[k:]
+        rolled[: max(0, n - k)] += words.hashes[k:]
     owner = np.repeat(np.arange(len(counts)), runs)
     at = words.first[:-1][owner] + (np.arange(len(out)) - first[:-1][owner])
     long = (counts >= size)[owner]
