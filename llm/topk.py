@@ -63,7 +63,7 @@ def best(query: np.ndarray, table: np.ndarray, squares: np.ndarray, ids: np.ndar
         score = score + query[dims] @ table[np.ix_(dims, alive)]
         rest = rest - squares[np.ix_(dims, alive)].sum(axis=0)
         later = query[order[begin + step :]].astype(float)
-        if len(alive) > k and len(later):
+        if len(alive) > k and len(later) and table.dtype != object:
             reach = np.sqrt(np.maximum(rest.astype(float), 0)) * np.sqrt((later**2).sum())
             exact = score.astype(float)
             slack = 1 + 1e-9 * (np.abs(exact) + reach)
@@ -71,7 +71,11 @@ def best(query: np.ndarray, table: np.ndarray, squares: np.ndarray, ids: np.ndar
             keep = exact + reach + slack >= least
             if not keep.all():
                 alive, score, rest = alive[keep], score[keep], rest[keep]
-    top = sorted(range(len(alive)), key=lambda i: (-score[i], ids[alive[i]]))[:k] if table.dtype == object else np.lexsort((ids[alive], -score))[:k]
+    if table.dtype == object:  # numbers beyond 64 bits: few, exact and slow, so nothing is dropped
+        score = np.array([max(-_LONG - 1, min(_LONG, int(s))) for s in score], dtype=object)
+        top = sorted(range(len(alive)), key=lambda i: (-score[i], ids[alive[i]]))[:k]
+    else:
+        top = np.lexsort((ids[alive], -score))[:k]
     return ids[alive[top]], score[top]
 
 
@@ -92,7 +96,7 @@ def _pair(k: int):
                 extra = int((ids == query_id).sum())
                 for vec_id, score in zip(*best(q[:, i], c, squares, ids, k + extra), strict=True):
                     if vec_id != query_id:
-                        found.append((query_id, int(vec_id), max(-_LONG - 1, min(_LONG, int(score)))))
+                        found.append((query_id, int(vec_id), int(score)))
         columns = list(zip(*found, strict=True)) or [[], [], []]
         return pa.table({n: pa.array(x, pa.int64()) for n, x in zip(("query_id", "vec_id", "score"), columns, strict=True)})
 

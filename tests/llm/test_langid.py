@@ -33,5 +33,5 @@ def test_nothing_to_learn_from(spark):
 
 
 def test_candidates_bound_what_is_learned(spark):
-    docs = spark.createDataFrame([(k, f"some text number {k} ", "en") for k in range(50)], "doc_id long, text string, lang string")
+    docs = spark.createDataFrame([(k, f"some text {chr(97 + k % 26) * (1 + k // 26)}", "en") for k in range(50)], "doc_id long, text string, lang string")
     assert len(langid.samples(docs, candidates=3)["en"].split(b"some")) == 4

@@ -6,9 +6,8 @@ from cases import awkward, empty, rows_of
 
 
 def with_sql(df):
-    documents = df.select("doc_id", "source", "text").toPandas()  # noqa: F841 - the SQL reads it by name
     con = duckdb.connect()
-    con.register("documents", documents)
+    con.register("documents", df.select("doc_id", "source", "text").toArrow())
     columns = "doc_id, size, source_size, target, taken, source, copies"
     return con.execute(f"SELECT {columns} FROM ({mixing.SQL})").fetchall()
 
