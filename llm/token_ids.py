@@ -26,11 +26,13 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from tokenizers.pre_tokenizers import ByteLevel
 
 from llm.common import stored, worker_memory
 from llm.mixing import draw
@@ -44,8 +46,10 @@ DICTIONARY = 64 << 10
 LEVEL = 3
 #: Bytes of frames in a segment; a longer document is a segment of its own.
 SEGMENT = 1 << 20
-#: Encodings of so many different pieces of text are remembered by a worker before it starts anew.
-REMEMBERED = 500_000
+#: Encodings of so many different words are remembered by a worker before it starts anew.
+REMEMBERED = 1_200_000
+#: ASCII signs but the apostrophe.
+_SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 
 _SEGMENTS = "part int, seq long, dict_hash string, before long, doc_ids array<long>, offsets array<long>, counts array<long>, frames binary"
 
@@ -63,32 +67,73 @@ def tokenizer(path: str):
         else:
             name = path
         kept["tokenizer", name] = Tokenizer.from_file(path)
-        kept["pieces", name] = {"": b""}
+        kept["pieces", name] = [{}, {}]
         path = name
     return kept["tokenizer", path], kept["pieces", path]
 
 
+def _halves(piece: str) -> tuple[str, str]:
+    """A piece as (word, signs behind it), which the tokenizer parts anyway; ASCII capitals are lowered as it does.
+
+    An apostrophe may belong to either side, and a special token is no word: such pieces stay whole.
+    """
+    word = piece.rstrip(_SIGNS)
+    if "<|" in piece or (word != piece and not (word and (word[-1].isalpha() or word[-1] in "0123456789"))):
+        return piece, ""
+    return (word.lower() if word.isascii() else word), piece[len(word) :]
+
+
+def _as_letters(word: str) -> str | None:
+    """A word that nothing but its bytes' letters has to be put for, as the tokenizer's model takes it; else None.
+
+    Letters only are one word to the tokenizer, and a normalized lower-case word
+    stays as it is, so the model can be asked straight away.
+    """
+    if not word.isalpha():
+        return None
+    if word.isascii():
+        return word
+    if word != word.lower() or not is_normalized("NFC", word):
+        return None
+    kept = worker_memory().setdefault("byte letters", {})
+    for c in set(word) - kept.keys():
+        kept[c] = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(c)[0][0]
+    return "".join(map(kept.__getitem__, word))
+
+
 def encode(texts: list[str], path: str, end_id: int = END_ID) -> list[bytes]:
     """The ids of each text and the end id, as little-endian unsigned 32-bit integers.
 
     The tokenizer splits at white space before anything else and drops it, so the
-    pieces between blanks are encoded by themselves, each different one once.
+    pieces between blanks are encoded by themselves. Each different word goes
+    through the tokenizer once, and later tasks of the worker still know it, the
+    words that keep coming for good.
     """
-    model, known = tokenizer(path)
+    model, generations = tokenizer(path)
     split = [text.replace("\n", " ").split(" ") for text in texts]
-    new = set().union(*split) - known.keys()
-    if len(known) + len(new) > REMEMBERED:
-        known.clear()
-        known[""] = b""
-        new = set().union(*split)
-    new = list(new)
-    for k in range(0, len(new), 10_000):
-        part = new[k : k + 10_000]
-        for piece, found in zip(part, model.encode_batch_fast(part, add_special_tokens=False), strict=True):
-            known[piece] = array("I", found.ids).tobytes()
-    known[""] = b""
+    pieces = set().union(*split)
+    if len(generations[0]) > REMEMBERED // 2:
+        generations[:] = [{}, generations[0]]
+    known, older = generations
+    known.update((piece, older[piece]) for piece in pieces - known.keys() if piece in older)
+    halves = {piece: _halves(piece) for piece in pieces - known.keys()}
+    rest, ask = [], model.model.tokenize
+    for half in {half for both in halves.values() for half in both} - known.keys():
+        if half in older:
+            known[half] = older[half]
+        elif (letters := _as_letters(half)) is not None:
+            known[half] = array("I", [token.id for token in ask(letters)]).tobytes()
+        else:
+            rest.append(half)
+    for k in range(0, len(rest), 10_000):
+        part = rest[k : k + 10_000]
+        for half, ids in zip(part, model.encode_batch_fast(part, add_special_tokens=False), strict=True):
+            known[half] = array("I", ids.ids).tobytes()
+    for piece, (word, signs) in halves.items():
+        if piece != word:
+            known[piece] = known[word] + known[signs]
     end = array("I", [end_id]).tobytes()
-    return [b"".join(map(known.__getitem__, pieces)) + end for pieces in split]
+    return [b"".join(map(known.__getitem__, row)) + end for row in split]
 
 
 def serialize(ids: bytes) -> bytes:

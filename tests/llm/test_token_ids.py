@@ -37,7 +37,7 @@ def test_files_hold_what_the_tokenizer_says(spark, folder, kind):
 
 def test_pieces_between_blanks_are_encoded_as_the_whole():
     model = Tokenizer.from_file(public_tokenizers.path(token_ids.TOKENIZER))
-    for text in ["It's a  test\x1cit\x85s", "é ́x\n̈", "<|startoftext|>a <|endoftext|> b", "\t \x0b\x0c", "’s 's're ÄÖ ﬁ", ""]:
+    for text in ["It's a  test\x1cit\x85s", "é ́x\n̈", "<|startoftext|>a <|endoftext|> b", "\t \x0b\x0c", "’s 's're ÄÖ ﬁ", "", "naïve ÉCOLE école ǆ İi ſ ß ẞ ΣΑΣ σας 日本 e\u0301 ñ.# x2,, ..a"]:
         ids = array("I")
         ids.frombytes(token_ids.encode([text], token_ids.TOKENIZER)[0])
         assert ids.tolist() == [*model.encode(text, add_special_tokens=False).ids, 1]
@@ -47,7 +47,7 @@ def test_small_segments_and_a_small_memory_change_nothing(spark, folder, monkeyp
     df = spark.read.parquet(SMALL + "/documents.parquet").where("doc_id < 25").coalesce(1)
     token_ids.write(df, folder("one"))
     monkeypatch.setattr(token_ids, "SEGMENT", 500)
-    monkeypatch.setattr(token_ids, "REMEMBERED", 10)
+    monkeypatch.setattr(token_ids, "REMEMBERED", 10)  # on the driver; the function that travels takes it along
     token_ids.write(df, folder("many"))
     kept = ["doc_id", "start", "n_tokens", "ids_crc32"]
     assert sorted(token_ids.read(spark, folder("one")).select(*kept).collect()) == sorted(token_ids.read(spark, folder("many")).select(*kept).collect())
