@@ -6,7 +6,9 @@ them are compressed with each dictionary, and the language with the smallest tot
 the runner-up is nearly as small the choice is marked as rejected.
 
 What is learned is bounded: at most ``CANDIDATES`` texts per language, chosen by a
-hash of the key, of which those that fit fill ``DICTIONARY`` bytes.
+hash of the key, of which those that fit fill ``DICTIONARY`` bytes. Of a text of more than a quarter of
+that, the letters at ``PLACES`` evenly spaced places are learned, an excerpt of a fixed size; it
+is predicted whole like any other.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
 so is every text when no language could be learned; equal sizes go to the
@@ -22,7 +24,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from llm.common import held_out, learned_from
 from llm.mixing import draw
@@ -30,6 +32,7 @@ from llm.mixing import draw
 FOLDS, HELD_OUT = 3, 1
 DICTIONARY = 96 << 10
 CANDIDATES = 128
+PLACES = 8
 PIECE = 2048
 LEVEL = 9
 #: A choice is rejected when the runner-up is less than this share larger.
@@ -46,18 +49,29 @@ def plain(text: str) -> bytes:
     return b" " + b" ".join(text.lower().encode().translate(_PLAIN).split()) + b" "
 
 
+def _excerpt(text: Column, size: int) -> Column:
+    """A text of up to ``size`` bytes as it is, of a longer one the letters at evenly spaced places, up to ``size`` bytes."""
+    letters = F.regexp_replace(text, r"[^\p{L}\p{M}]+", " ")
+    # A character has four bytes at most.
+    width = size // 4 // PLACES
+    step = (F.length(letters) - width) / F.lit(PLACES - 1)
+    places = [F.substr(letters, F.floor(step * k).cast("int") + 1, F.lit(width)) for k in range(PLACES)]
+    spaced = F.when(F.length(letters) <= width * PLACES, letters).otherwise(F.concat_ws(" ", *places))
+    return F.when(F.octet_length(text) <= size, text).otherwise(spaced)
+
+
 def samples(docs: DataFrame, candidates: int = CANDIDATES, size: int = DICTIONARY) -> dict[str, bytes]:
-    """The words of whole texts of each language, joined up to ``size`` bytes.
+    """The words of texts of each language, whole or an excerpt, joined up to ``size`` bytes.
 
     Candidates are ranked inside every task before the shuffle, so a language
     with most of the rows sends no more than ``candidates`` keys per task.
     """
     known = docs.where(learned_from("doc_id", FOLDS, HELD_OUT) & F.col("lang").isNotNull())
-    usable = known.where((F.octet_length("text") <= size // 4) & F.col("text").rlike(r"\p{L}"))
+    usable = known.where(F.col("text").rlike(r"\p{L}"))
     place = Window.partitionBy("lang").orderBy(draw(F.col("doc_id"), "language"), "doc_id")
     keys = usable.select("doc_id", "lang").withColumn("n", F.row_number().over(place)).where(F.col("n") <= candidates)
     # At most `candidates` keys per language.
-    rows = usable.join(F.broadcast(keys), ["doc_id", "lang"]).select("lang", "n", "doc_id", "text").collect()
+    rows = usable.join(F.broadcast(keys), ["doc_id", "lang"]).select("lang", "n", "doc_id", _excerpt(F.col("text"), size // 4).alias("text")).collect()
     by_lang = defaultdict(list)
     for row in sorted(rows, key=lambda r: (r["lang"], r["n"], r["text"])):
         by_lang[row["lang"]].append(plain(row["text"]))

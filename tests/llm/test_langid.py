@@ -35,3 +35,15 @@ def test_nothing_to_learn_from(spark):
 def test_candidates_bound_what_is_learned(spark):
     docs = spark.createDataFrame([(k, f"some text {chr(97 + k % 26) * (1 + k // 26)}", "en") for k in range(50)], "doc_id long, text string, lang string")
     assert len(langid.samples(docs, candidates=3)["en"].split(b"some")) == 4
+
+
+def test_a_language_with_long_texts_only_is_learned(spark):
+    short = [(k, "the cat sat on the mat and looked at the rain " * 5, "en") for k in range(30)]
+    # Over a quarter of the dictionary each; one hides its letters between signs.
+    long = [(100 + k, "der hund lief durch den wald und bellte laut " * 800, "de") for k in range(30)]
+    odd = [(200 + k, "7" * 30_000 + " il gatto dorme sul divano tutto il giorno " + "7" * 30_000, "it") for k in range(30)]
+    docs = spark.createDataFrame(short + long + odd, "doc_id long, text string, lang string")
+    filled = langid.samples(docs)
+    assert set(filled) == {"en", "de", "it"} and all(len(x) <= langid.DICTIONARY for x in filled.values())
+    found = {r.doc_id: r.lang_pred for r in langid.identify(docs).collect()}
+    assert all(found[k] == "de" for k, _, _ in long) and all(found[k] == "it" for k, _, _ in odd)
