@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import langid, lm, minhash, mixing, quality, sharding, tiling, token_ids, topk, toxicity
+from llm import langid, lm, minhash, mixing, piece_codec, quality, sharding, tiling, token_ids, topk, toxicity
 from llm.common import table
 from monthline.session import scratch_path
 
@@ -51,6 +51,10 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op11_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.digests(table(spark, sf_dir, "documents"))
+
+
 SPARK = {
     query.__name__: query
     for query in (
@@ -64,6 +68,7 @@ SPARK = {
         op8_string_tiling,
         op9_clause_toxicity,
         op10_minhash_dedup,
+        op11_piece_codec,
     )
 }
 
