@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import langid, lm, minhash, mixing, piece_codec, quality, sharding, tiling, token_ids, topk, toxicity
+from llm import langid, lm, minhash, mixing, piece_codec, quality, sharding, tiling, token_ids, topk, toxicity, vector_codes
 from llm.common import table
 from monthline.session import scratch_path
 
@@ -55,6 +55,10 @@ def op11_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(table(spark, sf_dir, "documents"))
 
 
+def op12_equal_average_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 SPARK = {
     query.__name__: query
     for query in (
@@ -69,7 +73,8 @@ SPARK = {
         op9_clause_toxicity,
         op10_minhash_dedup,
         op11_piece_codec,
+        op12_equal_average_codes,
     )
 }
 
-SQL = {"op1_source_mix": mixing.SQL, "op7_bound_topk": topk.SQL}
+SQL = {"op1_source_mix": mixing.SQL, "op7_bound_topk": topk.SQL, "op12_equal_average_codes": vector_codes.SQL}
