@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import langid, lm, minhash, mixing, piece_codec, quality, sharding, tiling, token_ids, topk, toxicity, vector_codes
+from llm import alignment, langid, lm, minhash, mixing, piece_codec, quality, sharding, tiling, token_ids, topk, toxicity, vector_codes
 from llm.common import table
 from monthline.session import scratch_path
 
@@ -59,6 +59,10 @@ def op12_equal_average_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
 
+def op13_merge_path_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.statistics(table(spark, sf_dir, "documents"))
+
+
 SPARK = {
     query.__name__: query
     for query in (
@@ -74,6 +78,7 @@ SPARK = {
         op10_minhash_dedup,
         op11_piece_codec,
         op12_equal_average_codes,
+        op13_merge_path_alignment,
     )
 }
 
