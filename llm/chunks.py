@@ -8,6 +8,7 @@ before the text. Chunks are slices of the column's bytes, found with array opera
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -53,8 +54,11 @@ class Chunks:
     first: np.ndarray
 
 
-def chunked(texts: pa.Array, cuts: str = CUTS) -> Chunks:
-    """Chunks of a column of texts, cut before the characters ``cuts`` alone; null and empty texts have none."""
+def chunked(texts: pa.Array, cuts: str = CUTS, inside: Callable[[np.ndarray], np.ndarray] | None = None) -> Chunks:
+    """Chunks of a column of texts, cut before the characters ``cuts`` alone; null and empty texts have none.
+
+    ``inside`` names further places: given the bytes, it tells for all but the first whether a chunk begins there.
+    """
     texts = texts.cast(pa.large_string()).fill_null("")
     empty = pc.equal(pc.binary_length(texts), 0)
     nothing = pa.scalar("", pa.large_string())
@@ -66,9 +70,13 @@ def chunked(texts: pa.Array, cuts: str = CUTS) -> Chunks:
         return Chunks(pa.array([], pa.large_binary()), np.zeros(0, np.int32), np.zeros(n + 1, np.int64))
     buffer = marked.buffers()[2].slice(low, high - low)
     data, offsets = np.frombuffer(buffer, dtype=np.uint8), offsets - low
-    starts = np.isin(data, np.frombuffer(cuts.encode(), dtype=np.uint8)) if cuts else np.zeros(len(data), dtype=bool)
+    starts = np.zeros(len(data), dtype=bool)
+    for byte in cuts.encode():
+        starts |= data == byte
     starts[1:] &= ~_SPACE[data[:-1]]
     starts[2:] &= ~(_LAST[data[1:-1]] & _BEFORE[data[:-2]])
+    if inside:
+        starts[1:] |= inside(data)
     starts[offsets[:-1][np.diff(offsets) > 0]] = True
     begin = np.flatnonzero(starts)
     bounds = np.append(begin, len(data)).astype(np.int64)

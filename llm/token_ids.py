@@ -12,7 +12,7 @@ Serialized form: one byte for the width (2 or 4), then the ids as little-endian
 unsigned integers of that width.
 
 The dictionary is trained on at most ``SAMPLE`` documents, chosen by a hash of the
-key; it changes sizes, never ids.
+key, and at most ``SAMPLE_BYTES`` characters of each; it changes sizes, never ids.
 
 Defined results: null texts are empty, and an empty text is its end id; null
 keys come first; rows with equal keys are all kept, ordered by length and
@@ -26,14 +26,16 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
-from unicodedata import is_normalized
+from unicodedata import is_normalized, normalize
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers.pre_tokenizers import ByteLevel
 
+from llm.chunks import CUTS, chunked
 from llm.common import stored, worker_memory
 from llm.mixing import draw
 from llm.words import blocks
@@ -47,11 +49,15 @@ LEVEL = 3
 #: Bytes of frames in a segment; a longer document is a segment of its own.
 SEGMENT = 1 << 20
 #: Encodings of so many different words are remembered by a worker before it starts anew.
-REMEMBERED = 1_200_000
-#: ASCII signs but the apostrophe.
-_SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+REMEMBERED = 600_000
+_LETTER, _SIGN = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+_LETTER[[k for k in range(128) if chr(k).isalnum()]] = True
+_SIGN[[k for k in range(33, 127) if not chr(k).isalnum() and chr(k) != "'"]] = True
 
-_SEGMENTS = "part int, seq long, dict_hash string, before long, doc_ids array<long>, offsets array<long>, counts array<long>, frames binary"
+#: Beyond the Latin, Greek and Cyrillic blocks, engines may differ in what they take for a letter.
+_LAST_LETTER = "\u052F"
+
+_SEGMENTS = "part int, seq long, dict_hash string, before long, first_key long, last_key long, doc_ids array<long>, offsets array<long>, counts array<long>, frames binary"
 
 
 def tokenizer(path: str):
@@ -72,28 +78,28 @@ def tokenizer(path: str):
     return kept["tokenizer", path], kept["pieces", path]
 
 
-def _halves(piece: str) -> tuple[str, str]:
-    """A piece as (word, signs behind it), which the tokenizer parts anyway; ASCII capitals are lowered as it does.
+def _between(data: np.ndarray) -> np.ndarray:
+    """Places between ASCII letters and signs, where the tokenizer parts anyway.
 
-    An apostrophe may belong to either side, and a special token is no word: such pieces stay whole.
+    An apostrophe may belong to either side, and special tokens are no words: a block that may hold some is not parted.
     """
-    word = piece.rstrip(_SIGNS)
-    if "<|" in piece or (word != piece and not (word and (word[-1].isalpha() or word[-1] in "0123456789"))):
-        return piece, ""
-    return (word.lower() if word.isascii() else word), piece[len(word) :]
+    if b"<|" in data.tobytes():
+        return np.zeros(len(data) - 1, dtype=bool)
+    letter, sign = _LETTER[data], _SIGN[data]
+    return (letter[:-1] & sign[1:]) | (sign[:-1] & letter[1:])
 
 
 def _as_letters(word: str) -> str | None:
-    """A word that nothing but its bytes' letters has to be put for, as the tokenizer's model takes it; else None.
+    """A word that nothing but its bytes' letters has to be put for, lowered, as the tokenizer's model takes it; else None.
 
-    Letters only are one word to the tokenizer, and a normalized lower-case word
+    Letters only are one word to the tokenizer, which lowers it; a normalized one
     stays as it is, so the model can be asked straight away.
     """
     if not word.isalpha():
         return None
     if word.isascii():
-        return word
-    if word != word.lower() or not is_normalized("NFC", word):
+        return word.lower()
+    if max(word) > _LAST_LETTER or word != word.lower() or not is_normalized("NFC", word):
         return None
     kept = worker_memory().setdefault("byte letters", {})
     for c in set(word) - kept.keys():
@@ -101,39 +107,48 @@ def _as_letters(word: str) -> str | None:
     return "".join(map(kept.__getitem__, word))
 
 
-def encode(texts: list[str], path: str, end_id: int = END_ID) -> list[bytes]:
-    """The ids of each text and the end id, as little-endian unsigned 32-bit integers.
+def encode_words(words: list[str], path: str) -> list[bytes]:
+    """The ids of different words, as little-endian unsigned 32-bit integers.
 
-    The tokenizer splits at white space before anything else and drops it, so the
-    pieces between blanks are encoded by themselves. Each different word goes
-    through the tokenizer once, and later tasks of the worker still know it, the
-    words that keep coming for good.
+    A word goes through the tokenizer once; later blocks of the worker still know it,
+    those that keep coming for good.
     """
     model, generations = tokenizer(path)
-    split = [text.replace("\n", " ").split(" ") for text in texts]
-    pieces = set().union(*split)
     if len(generations[0]) > REMEMBERED // 2:
         generations[:] = [{}, generations[0]]
     known, older = generations
-    known.update((piece, older[piece]) for piece in pieces - known.keys() if piece in older)
-    halves = {piece: _halves(piece) for piece in pieces - known.keys()}
+    found = [known.get(word) or older.get(word) for word in words]
     rest, ask = [], model.model.tokenize
-    for half in {half for both in halves.values() for half in both} - known.keys():
-        if half in older:
-            known[half] = older[half]
-        elif (letters := _as_letters(half)) is not None:
-            known[half] = array("I", [token.id for token in ask(letters)]).tobytes()
-        else:
-            rest.append(half)
+    for k, ids in enumerate(found):
+        if ids is None:
+            if (letters := _as_letters(words[k])) is not None:
+                found[k] = known[words[k]] = array("I", [token.id for token in ask(letters)]).tobytes()
+            else:
+                rest.append(k)
     for k in range(0, len(rest), 10_000):
         part = rest[k : k + 10_000]
-        for half, ids in zip(part, model.encode_batch_fast(part, add_special_tokens=False), strict=True):
-            known[half] = array("I", ids.ids).tobytes()
-    for piece, (word, signs) in halves.items():
-        if piece != word:
-            known[piece] = known[word] + known[signs]
-    end = array("I", [end_id]).tobytes()
-    return [b"".join(map(known.__getitem__, row)) + end for row in split]
+        for at, ids in zip(part, model.encode_batch_fast([words[at] for at in part], add_special_tokens=False), strict=True):
+            found[at] = known[words[at]] = array("I", ids.ids).tobytes()
+    return found
+
+
+def encode(texts: pa.Array, path: str, end_id: int = END_ID) -> list[bytes]:
+    """The ids of each text of a column and the end id, as little-endian unsigned 32-bit integers.
+
+    The tokenizer splits at white space before anything else and drops it, so the
+    pieces between blanks are encoded by themselves: each different one of the
+    column once, and the ids are put back by position.
+    """
+    chunks = chunked(texts, inside=_between)
+    ids = encode_words(pc.utf8_ltrim(chunks.distinct.cast(pa.large_string()), CUTS).to_pylist(), path)
+    ids.append(array("I", [end_id]).tobytes())
+    table = pa.array(ids, pa.large_binary())
+    place = np.insert(chunks.place.astype(np.int64), chunks.first[1:], len(ids) - 1)
+    taken = table.take(pa.array(place))
+    bounds = np.frombuffer(taken.buffers()[1], dtype=np.int64)[: len(place) + 1] if len(place) else np.zeros(1, np.int64)
+    data = memoryview(taken.buffers()[2]) if len(place) else memoryview(b"")
+    ends = bounds[chunks.first + np.arange(len(chunks.first))].tolist()
+    return [bytes(data[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
 
 
 def serialize(ids: bytes) -> bytes:
@@ -146,16 +161,18 @@ def deserialize(data: bytes) -> bytes:
 
 
 def train_dictionary(docs: DataFrame, path: str = TOKENIZER, sample: int = SAMPLE, size: int = DICTIONARY) -> bytes:
-    """A dictionary from the id arrays of at most ``sample`` documents of up to ``SAMPLE_BYTES`` each."""
-    usable = docs.where(F.octet_length("text").between(1, SAMPLE_BYTES) & F.col("doc_id").isNotNull())
-    keys = usable.select("doc_id").distinct().orderBy(draw(F.col("doc_id"), "dictionary"), "doc_id").limit(sample)
+    """A dictionary from the id arrays of at most ``sample`` documents; of a longer text ``SAMPLE_BYTES`` characters from a place drawn by its hash."""
+    at = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - SAMPLE_BYTES + 1, F.lit(1))).cast("int")
+    usable = docs.where((F.octet_length("text") > 0) & F.col("doc_id").isNotNull()).withColumn("content", F.xxhash64("text"))
+    keys = usable.select("doc_id", "content").distinct().orderBy(draw(F.col("doc_id"), "dictionary"), "doc_id", "content").limit(sample)
+    excerpts = usable.join(F.broadcast(keys), ["doc_id", "content"]).select("doc_id", "content", F.expr("text").substr(at + 1, F.lit(SAMPLE_BYTES)).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [serialize(x) for x in encode(batch.column("text").to_pylist(), path)]
+            found = [serialize(x) for x in encode(batch.column("text"), path)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "ids"])
 
-    chosen = usable.join(F.broadcast(keys), "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    chosen = excerpts.groupBy("doc_id", "content").agg(F.min("text").alias("text")).select("doc_id", "text")
     arrays = [bytes(r["ids"]) for r in sorted(chosen.mapInArrow(run, "doc_id long, ids binary").collect())]
     try:
         return zstandard.train_dictionary(size, arrays, level=LEVEL).as_bytes()
@@ -182,7 +199,7 @@ def write(docs: DataFrame, target: str, path: str = TOKENIZER, end_id: int = END
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared)
         for batch in batches:
             for part in blocks(batch, "text"):
-                ids = encode(part.column("text").to_pylist(), path, end_id)
+                ids = encode(part.column("text"), path, end_id)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([press.compress(serialize(x)) for x in ids], pa.binary())],
                     ["doc_id", "n", "frame"],
@@ -202,7 +219,8 @@ def write(docs: DataFrame, target: str, path: str = TOKENIZER, end_id: int = END
                 counts = part.column("n").to_pylist()
                 offsets = np.concatenate([[0], np.cumsum(sizes[begin:stop])]).tolist()
                 row = {
-                    "part": part.column("part")[0].as_py(), "seq": seq, "dict_hash": digest, "before": before, "doc_ids": part.column("doc_id").to_pylist(),
+                    "part": part.column("part")[0].as_py(), "seq": seq, "dict_hash": digest, "before": before,
+                    "first_key": part.column("doc_id")[0].as_py(), "last_key": part.column("doc_id")[-1].as_py(), "doc_ids": part.column("doc_id").to_pylist(),
                     "offsets": offsets, "counts": counts, "frames": b"".join(part.column("frame").to_pylist()),
                 }
                 yield pa.RecordBatch.from_pylist([row], schema=_segment_schema())
@@ -225,7 +243,7 @@ def write(docs: DataFrame, target: str, path: str = TOKENIZER, end_id: int = END
 def _segment_schema() -> pa.Schema:
     longs = pa.list_(pa.int64())
     return pa.schema(
-        [("part", pa.int32()), ("seq", pa.int64()), ("dict_hash", pa.string()), ("before", pa.int64()), ("doc_ids", longs), ("offsets", longs), ("counts", longs), ("frames", pa.binary())]
+        [("part", pa.int32()), ("seq", pa.int64()), ("dict_hash", pa.string()), ("before", pa.int64()), ("first_key", pa.int64()), ("last_key", pa.int64()), ("doc_ids", longs), ("offsets", longs), ("counts", longs), ("frames", pa.binary())]
     )
 
 
@@ -277,10 +295,11 @@ def read(spark: SparkSession, target: str) -> DataFrame:
 
 
 def read_document(spark: SparkSession, target: str, doc_id: int) -> list[list[int]]:
-    """The ids of the rows with this key: the index names the segment and the bytes, one frame is opened."""
+    """The ids of the rows with this key: the index names the segments that can hold it, and one frame of each is opened."""
     _, content = dictionary_of(spark, target)
     rows = (
         spark.read.parquet(f"{target}/segments")
+        .where((F.coalesce("first_key", F.lit(doc_id)) <= doc_id) & (F.col("last_key") >= doc_id))
         .select(F.posexplode("doc_ids").alias("i", "doc_id"), "offsets", "frames")
         .where(F.col("doc_id") == doc_id)
         .select(F.expr("substring(frames, int(offsets[i]) + 1, int(offsets[i + 1] - offsets[i]))").alias("frame"))
