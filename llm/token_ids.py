@@ -117,11 +117,13 @@ def encode_words(words: list[str], path: str) -> list[bytes]:
     if len(generations[0]) > REMEMBERED // 2:
         generations[:] = [{}, generations[0]]
     known, older = generations
-    found = [known.get(word) or older.get(word) for word in words]
+    found = list(map(known.get, words))
     rest, ask = [], model.model.tokenize
     for k, ids in enumerate(found):
         if ids is None:
-            if (letters := _as_letters(words[k])) is not None:
+            if words[k] in older:
+                found[k] = known[words[k]] = older[words[k]]
+            elif (letters := _as_letters(words[k])) is not None:
                 found[k] = known[words[k]] = array("I", [token.id for token in ask(letters)]).tobytes()
             else:
                 rest.append(k)

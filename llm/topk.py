@@ -10,12 +10,12 @@ Queries and candidates are cut into blocks, and a task gets one block of each, s
 memory is bounded whatever their number. The best of each pair of blocks are
 merged per query.
 
-Defined results: vectors that are null or empty, or hold a null or non-finite
-component, take no part; missing dimensions of a shorter vector count as 0; a
-query whose vec_id repeats is asked once, with its smallest vector, and no row
-with its vec_id is a candidate; other repeated rows are candidates each; ties go to
-the smaller vec_id; null vec_ids take no part; scores outside a long become its
-ends; extra columns are not read; an empty table gives an empty result.
+Defined results: vectors that are null or hold a null or non-finite component take no
+part; missing dimensions of a shorter vector count as 0, and an empty vector has score
+0 with every other; every row with a queried vec_id is a query of its own, and rows that repeat it
+are among its candidates; ties go to the smaller vec_id; null vec_ids take no part; scores
+outside a long become its ends; extra columns are not read; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -81,7 +81,7 @@ def best(query: np.ndarray, table: np.ndarray, squares: np.ndarray, ids: np.ndar
 
 def _pair(k: int):
     def run(queries: pa.Table, candidates: pa.Table) -> pa.Table:
-        found: list[tuple[int, int, int]] = []
+        found: list[tuple[int, int, int, int]] = []
         if queries.num_rows and candidates.num_rows:
             q, c = whole_numbers(queries.column("vector")), whole_numbers(candidates.column("vector"))
             width = max(len(q), len(c))
@@ -89,39 +89,48 @@ def _pair(k: int):
             most = [int(np.abs(x).max(initial=0)) for x in (q, c)]
             if max(most) ** 2 * max(width, 1) >= 2**62:
                 q, c = q.astype(object), c.astype(object)
-            ids, own = candidates.column("vec_id").to_numpy(), queries.column("vec_id").to_numpy()
-            squares = c * c
-            for i, query_id in enumerate(own.tolist()):
-                # The query's own rows may take places, so as many more are asked for.
-                extra = int((ids == query_id).sum())
-                for vec_id, score in zip(*best(q[:, i], c, squares, ids, k + extra), strict=True):
-                    if vec_id != query_id:
-                        found.append((query_id, int(vec_id), int(score)))
-        columns = list(zip(*found, strict=True)) or [[], [], []]
-        return pa.table({n: pa.array(x, pa.int64()) for n, x in zip(("query_id", "vec_id", "score"), columns, strict=True)})
+            ids, squares = candidates.column("vec_id").to_numpy(), c * c
+            asked = zip(*(queries.column(n).to_pylist() for n in ("vec_id", "content", "home")), strict=True)
+            for i, (query_id, content, home) in enumerate(asked):
+                # The query's own row may take a place in its own block, so one more is asked for.
+                top = [(int(v), int(s)) for v, s in zip(*best(q[:, i], c, squares, ids, k + home), strict=True)]
+                own = (query_id, max(-_LONG - 1, min(_LONG, int((q[:, i] * q[:, i]).sum()))))
+                if home and own in top:
+                    top.remove(own)
+                found += [(query_id, content, vec_id, score) for vec_id, score in top[:k]]
+        columns = list(zip(*found, strict=True)) or [[], [], [], []]
+        return pa.table({n: pa.array(x, pa.int64()) for n, x in zip(("query_id", "content", "vec_id", "score"), columns, strict=True)})
 
     return run
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = K, candidate_block: int = CANDIDATES, query_block: int = QUERIES) -> DataFrame:
-    """(query_id, rank, vec_id, score) from (vec_id, vector) rows of both sides."""
-    asked = queries.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    """(query_id, rank, vec_id, score) from (vec_id, vector) rows of both sides; queries are rows of ``vectors`` too.
+
+    Equal queries are asked once and their answers repeated.
+    """
+    content = F.xxhash64("vec_id", "vector")
+    asked = queries.groupBy("vec_id", "vector").agg(F.count(F.lit(1)).alias("copies")).withColumn("content", content)
     n_candidates = max(1, -(-vectors.select("vec_id").count() // candidate_block))
     n_queries = max(1, -(-queries.select("vec_id").count() // query_block))
     block = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = asked.select("vec_id", "vector", block(n_queries).alias("q"), every(n_candidates).alias("c"))
-    spread = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(n_candidates)).cast("int")
+    spread = F.pmod(content, F.lit(n_candidates)).cast("int")
+    left = asked.select("vec_id", "vector", "content", block(n_queries).alias("q"), spread.alias("at"), every(n_candidates).alias("c"))
+    left = left.select("vec_id", "vector", "content", (F.col("at") == F.col("c")).alias("home"), "q", "c")
     right = vectors.select("vec_id", "vector", spread.alias("c"), every(n_queries).alias("q"))
-    found = left.groupBy("q", "c").cogroup(right.groupBy("q", "c")).applyInArrow(_pair(k), "query_id long, vec_id long, score long")
-    place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = left.groupBy("q", "c").cogroup(right.groupBy("q", "c")).applyInArrow(_pair(k), "query_id long, content long, vec_id long, score long")
+    place = Window.partitionBy("query_id", "content").orderBy(F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
+    repeated = asked.where("copies > 1").select(F.col("vec_id").alias("query_id"), "content", "copies")
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("copies", F.lit(1))))
+    return ranked.join(repeated, ["query_id", "content"], "left").select("query_id", "rank", "vec_id", "score", copies.alias("copy")).drop("copy")
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
     """(vec_id, vector) of the rows that take part."""
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return embeddings.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & ~bad).select(
+    return embeddings.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~bad).select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector")
     )
 
@@ -133,16 +142,16 @@ def neighbours(embeddings: DataFrame, every: int = EVERY, k: int = K) -> DataFra
 
 SQL = f"""
 WITH ok AS (
-  SELECT vec_id, embedding FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-), v AS (
-  SELECT vec_id, generate_subscripts(embedding, 1) AS i, CAST(floor({SCALE} * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x FROM ok
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % {EVERY} = 0 GROUP BY ALL
-), r AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+  SELECT q.r, q.vec_id AS query_id, c.vec_id,
+    CAST(coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+  FROM ok q JOIN ok c ON q.r <> c.r WHERE q.vec_id % {EVERY} = 0
+), n AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
 )
-SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {K}
+SELECT query_id, rank, vec_id, score FROM n WHERE rank <= {K}
 """
