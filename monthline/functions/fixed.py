@@ -48,6 +48,8 @@ VALIDATION_RULES = [
 MIN_TRAINING_ROWS = 10
 TRAIN_SHARE = (4, 5)
 
+SHORT_SERIES_NOTE = "fewer rows than training needs"
+
 # Model status values and comparison decisions.
 CANDIDATE = "CANDIDATE"
 PRODUCTION = "PRODUCTION"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -10,6 +11,7 @@ from monthline import schemas
 from monthline.functions import dates
 from monthline.functions.numbers import to_amount, to_whole
 from monthline.functions.text import part, upper_trim
+from monthline.operators.forecast import join_on_keys
 from monthline.operators.row_id import with_row_id
 from monthline.operators.series import with_history_chunked
 
@@ -18,8 +20,11 @@ MONTHLY = [*SERIES, "period"]
 FEATURE_ORDER = [*SERIES, "ds", "period"]
 
 
-def clean_sales(raw: DataFrame) -> DataFrame:
-    """Normalised rows; rows without month, fiscal year or a readable amount are dropped."""
+def clean_sales(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Normalised rows; rows without month, fiscal year or a readable amount are dropped.
+
+    Columns in ``keep`` stay as they are.
+    """
     return (
         raw.withColumn("amount", to_amount(F.col("net_sales")))
         .filter(F.col("month").isNotNull() & F.col("fy").isNotNull() & F.col("amount").isNotNull())
@@ -34,23 +39,31 @@ def clean_sales(raw: DataFrame) -> DataFrame:
             F.col("amount").alias("net_sales"),
             dates.fiscal_period(F.col("month_num"), F.col("fy")).alias("period"),
             "source_file",
+            *keep,
         )
     )
 
 
-def agg_sales(clean: DataFrame) -> DataFrame:
-    """Totals per brand, state and period; NULLs form groups of their own."""
-    return clean.groupBy(*MONTHLY).agg(
+def agg_sales(clean: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Totals per brand, state and period (and the columns ``by``); NULLs form groups of their own."""
+    return clean.groupBy(*by, *MONTHLY).agg(
         F.sum("net_sales").alias("total_sales"), F.count(F.lit(1)).alias("transaction_count")
     )
 
 
 def combine_agg(parts: DataFrame) -> DataFrame:
-    """Sum up partial monthly totals: sums and counts are additive."""
+    """Sum up partial monthly totals: sums and counts are additive.
+
+    Parts may be negative, where rows have been taken back; a month without rows is no month.
+    """
     total_type = schemas.AGG_SALES["total_sales"].dataType
-    return parts.groupBy(*MONTHLY).agg(
-        F.sum("total_sales").cast(total_type).alias("total_sales"),
-        F.sum("transaction_count").alias("transaction_count"),
+    return (
+        parts.groupBy(*MONTHLY)
+        .agg(
+            F.sum("total_sales").cast(total_type).alias("total_sales"),
+            F.sum("transaction_count").alias("transaction_count"),
+        )
+        .filter("transaction_count > 0")
     )
 
 
@@ -72,17 +85,21 @@ def feature_base(agg: DataFrame) -> DataFrame:
     )
 
 
-def feature_history(base: DataFrame) -> DataFrame:
+def feature_history(base: DataFrame, position: str | None = None) -> DataFrame:
     """Lag and rolling columns per series, dated rows first, undated ones by period.
 
     Series of every length go the same way, in chunks of fixed size.
     """
-    return with_history_chunked(base, SERIES, ["ds", "period"], "y", 3)
+    return with_history_chunked(base, SERIES, ["ds", "period"], "y", 3, position=position)
 
 
-def feature_rows(agg: DataFrame, min_lag: int = 3) -> DataFrame:
-    """Features of all rows with at least ``min_lag`` earlier months."""
-    return feature_history(feature_base(agg)).filter(F.col(f"lag_{min_lag}").isNotNull())
+def feature_rows(agg: DataFrame, min_lag: int = 3, place: str | None = None) -> DataFrame:
+    """Features of all rows with at least ``min_lag`` earlier months; ``place`` names a column for a row's place in its series, from 1."""
+    if place is None:
+        return feature_history(feature_base(agg)).filter(F.col(f"lag_{min_lag}").isNotNull())
+    rows = feature_history(feature_base(agg), place).filter(F.col(f"lag_{min_lag}").isNotNull())
+    first = rows.groupBy(*SERIES).agg(F.min(place).alias("_first"))
+    return join_on_keys(rows, first, SERIES).withColumn(place, F.col(place) - F.col("_first") + 1).drop("_first")
 
 
 def feature_store(agg: DataFrame, min_lag: int = 3, now: datetime | None = None) -> DataFrame:

@@ -61,3 +61,26 @@ def with_row_id(
         .join(F.broadcast(starts), "_bucket")
         .select((F.col("_before") + place + 1).alias(name), *[F.col(c) for c in df.columns if c != name])
     )
+
+
+def running_total(df: DataFrame, order_cols: Sequence[str], value: str, name: str) -> DataFrame:
+    """Add the sum of ``value`` over all earlier rows in the order of ``order_cols`` (NULLs last), which are unique.
+
+    Rows are range-partitioned and summed up inside each partition; only one sum per
+    partition is added up over all of them.
+    """
+    order = nulls_last(order_cols)
+    placed = freeze(df.repartitionByRange(*order).withColumn("_bucket", F.spark_partition_id()))
+    inside = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        placed.groupBy("_bucket")
+        .agg(F.sum(value).alias("_sum"))
+        .select("_bucket", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before_bucket"))
+    )
+    return (
+        placed.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+        .join(F.broadcast(starts), "_bucket")
+        .withColumn(name, F.col("_before_bucket") + F.col("_inside"))
+        .drop("_bucket", "_inside", "_before_bucket")
+    )

@@ -33,9 +33,12 @@ def with_history_chunked(
     value: str,
     depth: int = 3,
     chunk_rows: int = CHUNK_ROWS,
+    position: str | None = None,
 ) -> DataFrame:
     """``with_history`` for series of any length, with equal results.
 
+    ``position`` names a column for the place of each row in the (keys, order) sequence, counted from 0.
+
     Rows get their position in the global (keys, order) sequence, which is cut
     into chunks of fixed size. The last ``depth`` rows of a chunk are repeated at
     the head of the next, so every row finds its predecessors in its own chunk
@@ -66,5 +69,6 @@ def with_history_chunked(
         spread.withColumns(lags)
         .filter(F.col("_chunk") == F.col("_home"))
         .withColumn(f"rolling_avg_{depth}", F.try_divide(total, present))
+        .withColumnsRenamed({"_pos": position} if position else {})
         .drop("_pos", "_home", "_chunk")
     )

@@ -12,12 +12,15 @@ from monthline.parity import inputs as src
 from monthline.parity.catalog import query
 from monthline.parity.inputs import FIELDS, NOW, sql_over
 from monthline.plans.layout import Layout
+from monthline.parity.feature_queries import FEATURE_SQL
+from monthline.plans.feature_table import numbered_features, refresh
+from monthline.plans.load import landed_rows, validate_and_load
 from monthline.plans.load import raw_sales as landed_sales
-from monthline.plans.load import validate_and_load
-from monthline.plans.train import monthly_totals, run_pipeline, stored_registry
+from monthline.plans.totals import aggregate_pending, merge_parts, monthly_totals
+from monthline.plans.train import run_pipeline, stored_registry, untrained_series
 from monthline.session import scratch_path
 from monthline.sources.sales_csv import REJECTED_LINE, is_rejected, read_sales_csv, scan_lines, with_load_ts
-from monthline.sources.tables import read_log, read_table
+from monthline.sources.tables import read_log
 from monthline.streaming.ingest import run_stream
 
 TRIMMED = """material_group, material_description, trim(sold_state) AS sold_state, supply_location,
@@ -202,7 +205,136 @@ def stream_monthly_totals(spark, sf):
 )
 def trigger_log(spark, sf):
     layout = stream_lots(spark, sf)
-    return read_table(spark, layout.trigger_log).select("run_time", "new_rows", "trigger_type")
+    return read_log(spark, layout.trigger_log, schemas.TRIGGER_LOG).select("run_time", "new_rows", "trigger_type")
+
+
+LOADS_SQL = "SELECT CASE WHEN k % 4 < 2 THEN 'first' ELSE 'second' END AS batch, count(*) AS row_count FROM keyed_raw GROUP BY 1"
+
+
+@query("load_new_files", sql_over("keyed_raw", select=LOADS_SQL))
+def load_new_files(spark, sf):
+    """A folder that grows, loaded three times: each load takes the files that are new."""
+    out, folder = scratch_path(spark, "grown-out"), scratch_path(spark, "grown-in")
+    rows = src.keyed_raw_sales(spark, sf).withColumn("lot", F.col("k") % 4)
+    for batch, lots in (("first", (0, 1)), ("second", (2, 3)), ("third", ())):
+        if lots:
+            src.append_sales_files(rows.filter(F.col("lot").isin(*lots)), folder)
+        validate_and_load(spark, folder, out, batch, NOW)
+    return landed_rows(spark, Layout(out)).groupBy("batch").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def _corrected(sql: str) -> str:
+    """The same over rows of which two lots have been corrected: some rows are gone, some amounts changed."""
+    return sql.replace(
+        "SELECT * EXCLUDE (k) FROM keyed_raw",
+        "SELECT * EXCLUDE (k) REPLACE (CASE WHEN k % 4 >= 2 AND k % 7 = 0 THEN '1.00' ELSE net_sales END AS net_sales) "
+        "FROM keyed_raw WHERE k % 4 < 2 OR k % 5 <> 0",
+    )
+
+
+def corrected_files(spark, sf) -> Layout:
+    """All lots loaded, two of them corrected under the same file names and loaded again, then a load of nothing new."""
+    out, folder = scratch_path(spark, "corrected-out"), scratch_path(spark, "corrected-in")
+    rows = src.keyed_raw_sales(spark, sf).withColumn("lot", F.col("k") % 4)
+    late = rows.filter("lot >= 2 and k % 5 <> 0")
+    amount = F.when(F.col("k") % 7 == 0, F.lit("1.00")).otherwise(F.col("net_sales"))
+    for batch, sent in (("first", rows), ("corrected", late.withColumn("net_sales", amount)), ("again", None)):
+        if sent is not None:
+            src.place_sales_files(sent, folder)
+        validate_and_load(spark, folder, out, batch, NOW)
+        aggregate_pending(spark, Layout(out))
+    return Layout(out)
+
+
+@query("superseded_rows", _corrected(sql_over("raw_sales", select=f"SELECT {TRIMMED} FROM raw_sales")))
+def superseded_rows(spark, sf):
+    """Rows of a corrected file stand in place of those of its first version."""
+    return landed_sales(spark, corrected_files(spark, sf)).select(*FIELDS)
+
+
+@query("superseded_totals", _corrected(sql_over("agg_sales", select="SELECT * FROM agg_sales")))
+def superseded_totals(spark, sf):
+    """Totals after the parts of replaced files have been taken back, before and after a merge of all parts."""
+    layout = corrected_files(spark, sf)
+    merge_parts(spark, layout, max_parts=0)
+    aggregate_pending(spark, layout)
+    return monthly_totals(spark, layout)
+
+
+@query("merged_totals", sql_over("agg_sales", select="SELECT * FROM agg_sales"))
+def merged_totals(spark, sf):
+    """Four loads, the parts merged whenever there are more than two."""
+    out, folder = scratch_path(spark, "merged-out"), scratch_path(spark, "merged-in")
+    rows = src.keyed_raw_sales(spark, sf).withColumn("lot", F.col("k") % 4)
+    for lot in range(4):
+        src.append_sales_files(rows.filter(F.col("lot") == lot), folder)
+        validate_and_load(spark, folder, out, f"lot {lot}", NOW)
+        aggregate_pending(spark, Layout(out))
+        merge_parts(spark, Layout(out), max_parts=2)
+    return monthly_totals(spark, Layout(out))
+
+
+BREAKS_SQL = sql_over(
+    "keyed_raw",
+    select=f"""SELECT {TRIMMED} FROM (SELECT * REPLACE (CASE WHEN k % 4 < 2 AND k % 5 = 0
+      THEN material_description || chr(10) || 'second, "line"' ELSE material_description END AS material_description) FROM keyed_raw)""",
+)
+
+
+def files_with_breaks(spark, sf) -> str:
+    """Two lots hold quoted line breaks, two do not."""
+    folder = scratch_path(spark, "line-breaks")
+    rows = src.keyed_raw_sales(spark, sf).withColumn("lot", F.col("k") % 4)
+    text = F.concat("material_description", F.lit('\nsecond, "line"'))
+    broken = F.when((F.col("lot") < 2) & (F.col("k") % 5 == 0), text).otherwise(F.col("material_description"))
+    src.place_sales_files(rows.withColumn("material_description", broken), folder)
+    return folder
+
+
+@query("csv_line_breaks", BREAKS_SQL)
+def csv_line_breaks(spark, sf):
+    return read_sales_csv(spark, files_with_breaks(spark, sf))[0].select(*FIELDS)
+
+
+@query("stream_line_breaks", BREAKS_SQL)
+def stream_line_breaks(spark, sf):
+    out = scratch_path(spark, "breaks-out")
+    run_stream(spark, files_with_breaks(spark, sf), out, scratch_path(spark, "breaks-offsets"), clock=lambda: NOW, train=False)
+    return landed_sales(spark, Layout(out)).select(*FIELDS)
+
+
+@query("incremental_features", FEATURE_SQL)
+def incremental_features(spark, sf):
+    """Three batches, the features of the touched series built after each, ids made at the end."""
+    out, folder = scratch_path(spark, "features-out"), scratch_path(spark, "features-in")
+    rows = src.keyed_raw_sales(spark, sf).withColumn("lot", F.col("k") % 4)
+    for lots in ((0, 1), (2,), (3,)):
+        src.append_sales_files(rows.filter(F.col("lot").isin(*lots)), folder)
+        validate_and_load(spark, folder, out, f"lots {lots[0]}", NOW)
+        aggregate_pending(spark, Layout(out))
+        refresh(spark, Layout(out), NOW)
+    return numbered_features(spark, Layout(out)).withColumn("rolling_avg_3", F.round("rolling_avg_3", 4)).drop("created_at")
+
+
+SERIES_FIT_SQL = sql_over(
+    "features",
+    select="""
+    SELECT CASE WHEN n >= 10 THEN 'trained' ELSE 'left out' END AS outcome, n, count(*) AS series
+    FROM (SELECT brand, state, count(*) AS n FROM features WHERE ds IS NOT NULL GROUP BY brand, state) GROUP BY 1, 2""",
+)
+
+
+@query("series_outcomes", SERIES_FIT_SQL)
+def series_outcomes(spark, sf):
+    """Every series is trained or listed as left out; a second run over the same rows fits none again."""
+    out = scratch_path(spark, "outcomes")
+    validate_and_load(spark, src.write_sales_files(spark, sf), out, "first", NOW)
+    for batch in ("first", "second"):
+        run_pipeline(spark, out, NOW, batch, by=["brand", "state"])
+    layout = Layout(out)
+    trained = read_log(spark, layout.trained_series, schemas.TRAINED_SERIES).select(F.lit("trained").alias("outcome"), "n")
+    short = untrained_series(spark, layout).filter("batch = 'second'").select(F.lit("left out").alias("outcome"), "n")
+    return trained.unionByName(short).groupBy("outcome", "n").agg(F.count(F.lit(1)).alias("series"))
 
 
 def full_chain(spark, sf):

@@ -261,6 +261,24 @@ def append_sales_files(rows: DataFrame, path: str, broken: bool = False) -> None
     )
 
 
+def place_sales_files(rows: DataFrame, folder: str, files: int = 4) -> None:
+    """Write the rows of each lot as files of fixed names, in place of those that are there.
+
+    Line breaks inside fields are quoted.
+    """
+    spark, staged = rows.sparkSession, scratch_path(rows.sparkSession, "staged-files")
+    plain = {"header": True, "quote": '"', "escape": '"', "nullValue": "NULL", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.select(*FIELDS, "lot", F.pmod(F.xxhash64("k"), F.lit(files)).alias("part")).repartition("lot", "part").write.partitionBy("lot", "part").options(**plain).csv(staged)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path(folder))
+    for status in system.globStatus(path(f"{staged}/lot=*/part=*/*.csv")):
+        made = status.getPath()
+        target = path(f"{folder}/{made.getParent().getParent().getName()}-{made.getParent().getName()}.csv")
+        system.delete(target, False)
+        system.rename(made, target)
+
+
 # Means of two-decimal amounts often lie exactly between two rounded values, where
 # the order of summation decides. A small shift before rounding settles them.
 

@@ -33,8 +33,24 @@ class Layout:
         return self._path("features", "agg_parts")
 
     @property
-    def feature_store(self) -> str:
-        return self._path("features", "feature_store")
+    def agg_merged(self) -> str:
+        return self._path("features", "agg_merged")
+
+    @property
+    def feature_rows(self) -> str:
+        return self._path("features", "feature_rows")
+
+    @property
+    def feature_state(self) -> str:
+        return self._path("features", "feature_state")
+
+    @property
+    def trained_series(self) -> str:
+        return self._path("models", "trained_series")
+
+    @property
+    def untrained_series(self) -> str:
+        return self._path("models", "untrained_series")
 
     @property
     def model_events(self) -> str:

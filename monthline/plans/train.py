@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from monthline import schemas
 from monthline.functions import fixed
-from monthline.operators.features import SERIES, agg_sales, clean_sales, combine_agg, feature_store
+from monthline.functions.dates import moment
+from monthline.operators.features import SERIES
 from monthline.operators.forecast import (
     enough_history,
     error_metrics,
     global_series,
+    join_on_keys,
     prediction_rows,
     score_holdout,
 )
@@ -39,15 +41,15 @@ from monthline.operators.registry import (
 )
 from monthline.operators.piecewise import score_piecewise
 from monthline.plans.layout import Layout
-from monthline.plans.load import landed_files, raw_sales
+from monthline.plans.load import FILE_VERSIONS, raw_sales
+from monthline.plans.feature_table import refresh, stored_features
+from monthline.plans.totals import aggregate_pending, merge_parts, monthly_totals
 from monthline.session import freeze
 from monthline.sources.tables import (
     BATCH,
     append_log,
+    compact_log,
     read_log,
-    read_replaced,
-    read_table,
-    replace_table,
     with_log_id,
 )
 
@@ -57,38 +59,15 @@ MODELS = {TREND_SEASONAL: score_holdout, PIECEWISE: score_piecewise}
 CANDIDATE_STEP, DECISION_STEP = 0, 1
 
 
-def aggregate_batch(spark: SparkSession, layout: Layout, batch: str) -> None:
-    """Store the monthly totals of one batch; earlier raw rows are not read again."""
-    append_log(agg_sales(clean_sales(raw_sales(spark, layout, batch))), layout.agg_parts, batch)
-
-
-def aggregate_pending(spark: SparkSession, layout: Layout) -> None:
-    """Store the monthly totals of every landed batch that has none yet."""
-    done = read_log(spark, layout.agg_parts, schemas.AGG_SALES).select(BATCH).distinct()
-    pending = landed_files(spark, layout).select(BATCH).distinct().join(done, BATCH, "left_anti")
-    for row in pending.collect():
-        aggregate_batch(spark, layout, row[BATCH])
-
-
-def monthly_totals(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Monthly totals of all batches."""
-    return combine_agg(read_table(spark, layout.agg_parts, schemas.AGG_SALES))
-
-
 def refresh_features(spark: SparkSession, layout: Layout, now: datetime | None = None) -> int:
-    """Add what has been landed since, rebuild the feature table and return its row count."""
+    """Add what has been landed since, bring the feature table up to it and return its row count."""
     aggregate_pending(spark, layout)
-    store = feature_store(monthly_totals(spark, layout), now=now)
-    replace_table(store, layout.feature_store)
+    refresh(spark, layout, now)
     return stored_features(spark, layout).count()
 
 
-def stored_features(spark: SparkSession, layout: Layout) -> DataFrame:
-    return read_replaced(spark, layout.feature_store, schemas.FEATURE_STORE)
-
-
 def stored_registry(spark: SparkSession, layout: Layout) -> DataFrame:
-    return current_registry(read_table(spark, layout.model_events, schemas.MODEL_EVENTS, missing_ok=True))
+    return current_registry(read_log(spark, layout.model_events, schemas.MODEL_EVENTS).drop(BATCH))
 
 
 def _decided(batch: str) -> str:
@@ -105,6 +84,31 @@ def _version(now: datetime) -> str:
     return now.strftime("v%Y%m%d_%H%M%S")
 
 
+def _fingerprints(series: DataFrame, keys: Sequence[str], model: str) -> DataFrame:
+    """(keys, n, fingerprint) of the dated rows of each series: equal where they are, in whatever order they come."""
+    content = F.sum(F.xxhash64("ds", "y", F.lit(model)).cast("decimal(38,0)")).cast("string")
+    return series.filter(F.col("ds").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), content.alias("fingerprint"))
+
+
+def _sort_series(
+    spark: SparkSession, layout: Layout, batch: str, series: DataFrame, keys: Sequence[str], model: str
+) -> DataFrame:
+    """The rows of the series that are to be fitted: long enough, and changed since they last were.
+
+    Both lists are logged for the batch: the fingerprints of the series that are fitted, and the
+    series left out for want of rows with the number they have.
+    """
+    prints = freeze(_fingerprints(series, keys, model))
+    short = prints.filter(F.col("n") < fixed.MIN_TRAINING_ROWS).select(
+        F.col(keys[0]).alias("model_name"), F.to_json(F.struct(*keys[1:])).alias("series"), "n", F.lit(fixed.SHORT_SERIES_NOTE).alias("reason")
+    )
+    append_log(short, layout.untrained_series, batch)
+    earlier = read_log(spark, layout.trained_series, schemas.TRAINED_SERIES).filter(F.col(BATCH) != batch)
+    newest = earlier.groupBy("model_name").agg(F.max_by("fingerprint", "trained").alias("_last"))
+    long = prints.filter(F.col("n") >= fixed.MIN_TRAINING_ROWS).join(newest, "model_name", "left")
+    return freeze(long.filter(~F.col("_last").eqNullSafe(F.col("fingerprint"))).drop("_last"))
+
+
 def train_models(
     spark: SparkSession,
     layout: Layout,
@@ -116,8 +120,9 @@ def train_models(
     """Backtest the global series (or every series in ``by``) and register candidates.
 
     Returns False and writes nothing when there are too few feature rows. The
-    global series is then fitted over the periods there are; of the series in ``by``
-    those with enough rows of their own are. ``model`` is the model form.
+    global series is then fitted over the periods there are. Of the series in ``by``
+    those with enough rows of their own are fitted, if their rows have changed since
+    they last were; the others keep their models. ``model`` is the model form.
     """
     features = stored_features(spark, layout)
     if not enough_history(features, []).take(1):
@@ -125,9 +130,12 @@ def train_models(
     version = _version(now)
     if by:
         series = features.select(*by, "ds", "y", model_name(f"SALES_{model}", by).alias("model_name"))
+        keys = ["model_name", *by]
+        fitted = _sort_series(spark, layout, batch, series, keys, model)
+        series = join_on_keys(series, fitted.select(*keys), keys, "left_semi")
     else:
         series = global_series(features).withColumn("model_name", F.lit(f"SALES_{model}"))
-    keys = ["model_name", *by]
+        keys = ["model_name"]
     scored = freeze(MODELS[model](freeze(series), keys, min_rows=fixed.MIN_TRAINING_ROWS if by else 1))
     events = _events_before(spark, layout, batch)
     rows = candidate_rows(error_metrics(scored, [*keys, "n_train"]), F.col("model_name"), version, now, model)
@@ -139,9 +147,36 @@ def train_models(
         prediction_rows(scored, version, now), log, "prediction_id", [*SERIES, "period"], batch
     )
     append_log(predictions.select(*schemas.PREDICTION_LOG.names), layout.prediction_log, batch)
+    if by:  # last, so a run that fails before fits them again
+        append_log(fitted.select("model_name", "n", "fingerprint", moment(now).alias("trained")), layout.trained_series, batch)
     return True
 
 
+def untrained_series(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The series that runs left out of training, with their rows, the reason and the run."""
+    return read_log(spark, layout.untrained_series, schemas.UNTRAINED_SERIES)
+
+
+def tidy(spark: SparkSession, layout: Layout) -> None:
+    """Merge parts and logs that lie in many folders; results stay as they are."""
+    merge_parts(spark, layout)
+    logs = {
+        layout.landed_files: FILE_VERSIONS,
+        layout.validation_log: schemas.VALIDATION_LOG,
+        layout.model_events: schemas.MODEL_EVENTS,
+        layout.comparison_log: schemas.MODEL_COMPARISON_LOG,
+        layout.prediction_log: schemas.PREDICTION_LOG,
+        layout.drift_metrics: schemas.DRIFT_METRICS,
+        layout.series_drift: schemas.SERIES_DRIFT,
+        layout.runs: schemas.PIPELINE_RUNS,
+        layout.trigger_log: schemas.TRIGGER_LOG,
+        layout.trained_series: schemas.TRAINED_SERIES,
+        layout.untrained_series: schemas.UNTRAINED_SERIES,
+    }
+    for path, schema in logs.items():
+        compact_log(spark, path, schema)
+
+
 def compare_and_promote(spark: SparkSession, layout: Layout, batch: str, now: datetime) -> None:
     """Decide every pending candidate, log the decisions and append the new states.
 
@@ -196,7 +231,7 @@ def summary(spark: SparkSession, layout: Layout) -> DataFrame:
         stored_registry(spark, layout),
         stored_features(spark, layout),
         raw_sales(spark, layout),
-        read_table(spark, layout.drift_metrics, schemas.DRIFT_METRICS, missing_ok=True),
+        read_log(spark, layout.drift_metrics, schemas.DRIFT_METRICS).drop(BATCH),
     )
 
 
@@ -223,6 +258,7 @@ def run_pipeline(
         compare_and_promote(spark, layout, batch, now)
         check_drift(spark, layout, batch, now)
         check_series_drift(spark, layout, batch, now)
+        tidy(spark, layout)
     except Exception as problem:
         _log_full_run(spark, layout, batch, now, "FAILED", None, started, str(problem))
         raise

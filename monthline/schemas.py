@@ -160,3 +160,7 @@ PIPELINE_RUNS = _struct(
 )
 
 TRIGGER_LOG = _struct(run_time=_moment, new_rows=_whole, trigger_type=_text)
+
+TRAINED_SERIES = _struct(model_name=_text, n=_whole, fingerprint=_text, trained=_moment)
+
+UNTRAINED_SERIES = _struct(model_name=_text, series=_text, n=_whole, reason=_text)

@@ -3,6 +3,10 @@
 An append goes to its own ``batch=<id>`` folder, which a repeated attempt for
 the same batch overwrites. A job that is retried after a lost executor or a
 replayed micro-batch therefore never adds its rows twice.
+
+The folders of many batches are merged into one table, a new version under a pointer,
+in which each row keeps its batch. A folder stands for its batch, whatever the merged
+table says of it: one that is left over, or written again by a replay, counts once.
 """
 
 from __future__ import annotations
@@ -10,6 +14,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
@@ -49,7 +54,62 @@ def read_table(
 def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Scan an append log together with the batch each row came from."""
     with_batch = T.StructType(schema.fields + [T.StructField(BATCH, T.StringType())])
-    return read_table(spark, path, with_batch, missing_ok=True)
+    rows = read_table(spark, path, with_batch, missing_ok=True)
+    if not _exists(spark, f"{path}/{_MERGED}"):
+        return rows
+    merged = read_replaced(spark, f"{path}/{_MERGED}", with_batch)
+    return merged.filter(~F.col(BATCH).isin(batch_folders(spark, path))).unionByName(rows)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(status.getPath().getName() for status in files.listStatus(folder)) if files.exists(folder) else []
+
+
+def remove_folders(spark: SparkSession, path: str, keep: set[str]) -> None:
+    """Remove all folders in ``path`` but those to keep."""
+    for name in set(folder_names(spark, path)) - keep:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path, name)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _batch_of(folder: str) -> str | None:
+    return unquote(folder.removeprefix(f"{BATCH}=")) if folder.startswith(f"{BATCH}=") else None
+
+
+def batch_folders(spark: SparkSession, path: str) -> list[str]:
+    """The batches that have a folder of their own."""
+    return sorted(b for b in map(_batch_of, folder_names(spark, path)) if b is not None)
+
+
+def remove_batches(spark: SparkSession, path: str, batches: Sequence[str]) -> None:
+    gone = set(batches)
+    remove_folders(spark, path, keep={name for name in folder_names(spark, path) if _batch_of(name) not in gone})
+
+
+def compact_log(spark: SparkSession, path: str, schema: T.StructType, max_folders: int = 32) -> bool:
+    """Merge the folders of a log when there are more than ``max_folders``; True if it did.
+
+    The folders go after the pointer names the merged table, so a failure in between loses nothing.
+    """
+    folders = batch_folders(spark, path)
+    if len(folders) <= max_folders:
+        return False
+    replace_table(read_log(spark, path, schema), f"{path}/{_MERGED}")
+    remove_batches(spark, path, folders)
+    return True
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def replace_partitions(df: DataFrame, path: str, column: str) -> None:
+    """Write the partitions that ``df`` has rows of in place of those that are there; others stay."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -70,7 +130,7 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-_VERSIONS, _CURRENT = "versions", "current"
+_VERSIONS, _CURRENT, _MERGED = "versions", "current", "_merged"
 _POINTER = "made string"
 
 
@@ -78,8 +138,12 @@ def _pointers(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(_POINTER).parquet(f"{path}/{_CURRENT}")
 
 
-def read_replaced(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """The newest version of a table that ``replace_table`` writes."""
+def read_replaced(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, missing_ok: bool = False
+) -> DataFrame:
+    """The newest version of a table that ``replace_table`` writes; with ``missing_ok`` one that nobody wrote yet is empty."""
+    if missing_ok and not _exists(spark, f"{path}/{_CURRENT}"):
+        return spark.createDataFrame([], schema)
     newest = _pointers(spark, path).agg(F.max("made")).first()[0]
     return read_table(spark, f"{path}/{_VERSIONS}/v{newest}", schema)
 

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from monthline.plans.layout import Layout
-from monthline.plans.load import land, raw_sales
-from monthline.plans.train import aggregate_batch, run_pipeline
+from monthline.plans.load import land_files, raw_sales
+from monthline.plans.totals import aggregate_pending
+from monthline.plans.train import run_pipeline
 from monthline.functions.dates import moment
-from monthline.sources.sales_csv import stream_lines
+from monthline.sources.file_list import stream_files
 from monthline.sources.tables import append_log
 
 FILES_TRIGGER = "NEW_FILES"
@@ -32,7 +33,7 @@ def batch_handler(
     train: bool = True,
     name: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """Work for one micro-batch. Everything it writes is filed under ``name``, or the query's id, and the batch id.
+    """Work for one micro-batch of listed files. Everything it writes is filed under ``name``, or the query's id, and the batch id.
 
     The query's id lasts as long as its checkpoint; landing refuses a name that other files have used. A replayed micro-batch overwrites
     its own folders, so each row counts once; another stream into the same
@@ -41,18 +42,18 @@ def batch_handler(
     layout = Layout(out_root)
     clock = clock or (lambda: datetime.now().replace(microsecond=0))
 
-    def handle(lines: DataFrame, batch_id: int) -> None:
-        spark = lines.sparkSession
+    def handle(files: DataFrame, batch_id: int) -> None:
+        spark = files.sparkSession
         stream = name or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         if not stream:
             raise ValueError("a stream without a query id needs a name")
         now, batch = clock(), f"{stream}-{batch_id}"
-        land(lines, layout, batch, now)
+        land_files(files, layout, batch, now)
         new_rows = raw_sales(spark, layout, batch).count()
         if new_rows == 0:
             return
         append_log(trigger_rows(spark, new_rows, now), layout.trigger_log, batch)
-        aggregate_batch(spark, layout, batch)
+        aggregate_pending(spark, layout, batch)
         if train:
             run_pipeline(spark, out_root, now, batch)
 
@@ -72,9 +73,13 @@ def run_stream(
     max_files: int | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Pick up each new file once: all that are there now, or one batch per interval."""
+    """Pick up each new file once: all that are there now, or one batch per interval.
+
+    The stream carries the files' names only; a file is opened when its batch is landed. It
+    sees each path once: corrected files are for ``validate_and_load``.
+    """
     writer = (
-        stream_lines(spark, in_dir, max_files)
+        stream_files(spark, in_dir, max_files)
         .writeStream.foreachBatch(batch_handler(out_root, clock, train, name))
         .option("checkpointLocation", checkpoint)
     )

@@ -14,6 +14,7 @@ from monthline.parity import inputs as src
 from monthline.plans import train
 from monthline.plans.layout import Layout
 from monthline.plans.load import raw_sales, rejected_lines, validate_and_load
+from monthline.sources.file_list import list_files
 from monthline.sources.tables import read_log, read_table
 from monthline.streaming.ingest import batch_handler, run_stream
 
@@ -88,7 +89,7 @@ def test_failed_batch_is_replayed_without_doubles(spark, box, monkeypatch):
         calls.append(1)
         raise RuntimeError("lost")
 
-    monkeypatch.setattr("monthline.streaming.ingest.aggregate_batch", failing)
+    monkeypatch.setattr("monthline.streaming.ingest.aggregate_pending", failing)
     with pytest.raises(Exception, match="lost"):
         run(spark, box)
     monkeypatch.undo()
@@ -182,23 +183,18 @@ def test_a_failing_step_is_logged(spark, box, monkeypatch):
 
 def test_handler_is_reusable(spark, box):
     handle = batch_handler(str(box / "out"), Clock(), train=False, name="s")
-    lines = [
-        spark.createDataFrame(
-            [("B", "P", "S", "L", "Apr-23", "23-24", "1", f"{name}.csv", f"/{name}.csv", 9, None, None)],
-            "material_group string, material_description string, sold_state string, supply_location string, month string, "
-            "fy string, net_sales string, source_file string, file_path string, file_size long, file_modified timestamp, rejected_line string",
-        ).withColumn("file_modified", F.lit("2024-01-01").cast("timestamp"))
-        for name in ("f", "g")
-    ]
+    for name in ("f.csv", "g.csv"):
+        put(box, name, "B,P,S,L,Apr-23,23-24,1")
+    files = [list_files(spark, str(box / "in" / name)) for name in ("f.csv", "g.csv")]
     for batch in (0, 0, 1):
-        handle(lines[batch], batch)
-    handle(lines[0], 2)
+        handle(files[batch], batch)
+    handle(files[0], 2)
     layout = Layout(str(box / "out"))
     assert ordered(raw_sales(spark, layout), "source_file") == [("f.csv",), ("g.csv",)]
     with pytest.raises(ValueError, match="other files"):
-        handle(lines[1], 0)
+        handle(files[1], 0)
     with pytest.raises(ValueError, match="needs a name"):
-        batch_handler(str(box / "out"), Clock())(lines[0], 0)
+        batch_handler(str(box / "out"), Clock())(files[0], 0)
 
 
 def test_streams_with_offsets_of_their_own_keep_their_rows(spark, box):
