@@ -69,9 +69,12 @@ def samples(docs: DataFrame, candidates: int = CANDIDATES, size: int = DICTIONAR
     known = docs.where(learned_from("doc_id", FOLDS, HELD_OUT) & F.col("lang").isNotNull())
     usable = known.where(F.col("text").rlike(r"\p{L}"))
     place = Window.partitionBy("lang").orderBy(draw(F.col("doc_id"), "language"), "doc_id")
-    keys = usable.select("doc_id", "lang").withColumn("n", F.row_number().over(place)).where(F.col("n") <= candidates)
-    # At most `candidates` keys per language.
-    rows = usable.join(F.broadcast(keys), ["doc_id", "lang"]).select("lang", "n", "doc_id", _excerpt(F.col("text"), size // 4).alias("text")).collect()
+    hashed = usable.withColumn("content", F.xxhash64("text"))
+    # One text per key, so at most `candidates` rows per language, however often a key repeats.
+    one = hashed.groupBy("doc_id", "lang").agg(F.min("content").alias("content"))
+    keys = one.withColumn("n", F.row_number().over(place)).where(F.col("n") <= candidates)
+    chosen = hashed.join(F.broadcast(keys), ["doc_id", "lang", "content"]).select("lang", "n", "doc_id", _excerpt(F.col("text"), size // 4).alias("text"))
+    rows = chosen.groupBy("lang", "n", "doc_id").agg(F.min("text").alias("text")).collect()
     by_lang = defaultdict(list)
     for row in sorted(rows, key=lambda r: (r["lang"], r["n"], r["text"])):
         by_lang[row["lang"]].append(plain(row["text"]))

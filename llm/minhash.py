@@ -17,7 +17,7 @@ set 4.5 standard deviations below the limit, with 4e-6.
 
 Defined results: a text without words (or null) has an empty set and is
 linked with nothing; a text with fewer words than a shingle is one shingle;
-rows that repeat a key are the same document; a null key takes part in no
+rows that repeat a key are the same document, whose texts are linked through it; a null key takes part in no
 link, has no component and is kept; extra columns stay; an empty table gives
 an empty result.
 """
@@ -67,6 +67,14 @@ def _sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[pa.RecordBatch, li
         yield part, [np.unique(hashes[i:j]) for i, j in zip(first, first[1:], strict=False)]
 
 
+def _fingerprint(sets: list[np.ndarray]) -> list[pa.Array]:
+    """128 bits of each whole set, and its size."""
+    weigh = _family(2)[0]
+    f1 = np.array([int((s * weigh[0]).sum()) for s in sets], dtype=np.uint64)
+    f2 = np.array([int(((s ^ (s >> np.uint64(29))) * weigh[1]).sum()) for s in sets], dtype=np.uint64)
+    return [pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), pa.array([len(s) for s in sets], pa.int64())]
+
+
 def signatures(docs: DataFrame, size: int, rows: int, bands: int) -> DataFrame:
     """(doc_id, n_shingles, f1, f2, bands, sig) per row of (doc_id, text).
 
@@ -78,9 +86,6 @@ def signatures(docs: DataFrame, size: int, rows: int, bands: int) -> DataFrame:
         weigh = _family(rows + 1)[0]
         for batch in batches:
             for part, sets in _sets(batch, size):
-                n = np.array([len(s) for s in sets], dtype=np.int64)
-                f1 = np.array([int((s * weigh[0]).sum()) for s in sets], dtype=np.uint64)
-                f2 = np.array([int(((s ^ (s >> np.uint64(29))) * weigh[1]).sum()) for s in sets], dtype=np.uint64)
                 low = np.stack([minima(s, a, b) for s in sets])
                 keys = ((low ^ (low >> np.uint64(32))).reshape(len(sets), bands, rows) * weigh[None, None, 1:]).sum(axis=2)
                 keys ^= keys >> np.uint64(32)
@@ -88,48 +93,58 @@ def signatures(docs: DataFrame, size: int, rows: int, bands: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
-                        pa.array(n),
-                        pa.array(f1.view(np.int64)),
-                        pa.array(f2.view(np.int64)),
-                        pa.array([k if c else k[:0] for k, c in zip(keys.view(np.int64), n, strict=True)], pa.list_(pa.int64())),
+                        *_fingerprint(sets),
+                        pa.array([k if len(s) else k[:0] for k, s in zip(keys.view(np.int64), sets, strict=True)], pa.list_(pa.int64())),
                         pa.array([x.tobytes() for x in short], pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "f1", "f2", "bands", "sig"],
+                    ["doc_id", *SET, "bands", "sig"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>, sig binary")
+    return docs.mapInArrow(run, "doc_id long, f1 long, f2 long, n_shingles long, bands array<long>, sig binary")
+
+
+SET = ["f1", "f2", "n_shingles"]
 
 
-def _with_class(signed: DataFrame) -> DataFrame:
-    """Adds ``rep``, the smallest doc_id with the same set; NULL for empty sets and null keys."""
+def _classes(signed: DataFrame) -> DataFrame:
+    """One row per distinct set that is not empty: its number, its smallest doc_id, its bands and signature.
+
+    Copies are folded inside each task before the shuffle.
+    """
     linked = signed.where("n_shingles > 0 and doc_id is not null")
-    classes = linked.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    return signed.select("doc_id", "n_shingles", "f1", "f2").join(
-        classes.select(F.col("f1").alias("g1"), F.col("f2").alias("g2"), F.col("n_shingles").alias("g3"), "rep"),
-        (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")) & (F.col("n_shingles") == F.col("g3")) & F.col("doc_id").isNotNull(),
-        "left",
-    ).select("doc_id", "n_shingles", "rep")
+    classes = linked.groupBy(*SET).agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig"))
+    return classes.withColumn("node", F.monotonically_increasing_id())
+
+
+def _same_set(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+    """Joined by the set's fingerprint; the left side's columns of it stay."""
+    named = right.withColumnsRenamed({name: f"_{name}" for name in SET})
+    joined = left.join(named, [F.col(name) == F.col(f"_{name}") for name in SET], how)
+    return joined.drop(*[f"_{name}" for name in SET])
 
 
 def _candidate_links(banded: DataFrame) -> DataFrame:
-    """Links from each member of a band's bucket to the bucket's smallest member."""
-    rows = banded.select("doc_id", F.posexplode("bands").alias("band", "key"))
-    heads = rows.groupBy("band", "key").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return rows.join(heads, ["band", "key"]).where("doc_id != head").select(F.col("doc_id").alias("u"), F.col("head").alias("v")).distinct()
+    """Links from each member of a band's bucket to the bucket's smallest member.
+
+    The heads are written before they are joined, so Spark can split the rows of a large bucket.
+    """
+    rows = banded.select("node", F.posexplode("bands").alias("band", "key"))
+    heads = stored(rows.groupBy("band", "key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "heads")
+    return rows.join(heads, ["band", "key"]).where("node != head").select(F.col("node").alias("u"), F.col("head").alias("v")).distinct()
 
 
 def _full_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """(doc_id, full): the whole sets of the candidates, made again from their texts."""
+    """(f1, f2, n_shingles, full): the whole sets of the texts whose doc_id stands for a candidate, made again from them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, sets in _sets(batch, size):
+            for _, sets in _sets(batch, size):
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.large_binary()).cast(pa.binary())], ["doc_id", "full"]
+                    [*_fingerprint(sets), pa.array([s.tobytes() for s in sets], pa.large_binary()).cast(pa.binary())], [*SET, "full"]
                 )
 
-    wanted = docs.join(nodes.select(F.col("node").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi")
-    return wanted.mapInArrow(run, "doc_id long, full binary").dropDuplicates(["doc_id"])
+    wanted = docs.join(nodes.select(F.col("rep").alias("doc_id")).distinct().hint("shuffle_hash"), "doc_id", "left_semi")
+    return wanted.mapInArrow(run, "f1 long, f2 long, n_shingles long, full binary").dropDuplicates(SET)
 
 
 def _confirm(members: DataFrame, pairs: DataFrame, percent: int, hashes: int) -> DataFrame:
@@ -223,17 +238,17 @@ def near_duplicates(
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stored(signatures(texts, size, rows, bands), "signatures")
-    classed = stored(_with_class(signed), "classes")
-    reps = signed.join(classed.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    candidates = stored(_candidate_links(reps), "candidates")
-    nodes = stored(components(candidates).withColumnRenamed("component", "cluster"), "clusters")
-    sets = _full_sets(texts, nodes, size)
-    data = stored(
-        nodes.join(sets.withColumnRenamed("doc_id", "node"), "node").join(
-            reps.select(F.col("doc_id").alias("node"), "sig"), "node"
+    classes = stored(_classes(signed), "classes")
+    of_rows = stored(
+        _same_set(signed.select("doc_id", *SET, F.col("doc_id").isNotNull().alias("keyed")), classes.select(*SET, "node", "rep"), "left").select(
+            "doc_id", "n_shingles", F.when(F.col("keyed"), F.col("node")).alias("node"), F.when(F.col("keyed"), F.col("rep")).alias("rep")
         ),
-        "candidate-sets",
+        "rows",
     )
+    candidates = stored(_candidate_links(classes), "candidates")
+    nodes = stored(components(candidates).withColumnRenamed("component", "cluster"), "clusters")
+    sets = _full_sets(texts, classes.join(nodes, "node", "left_semi"), size)
+    data = stored(_same_set(nodes.join(classes.select(*SET, "node", "sig"), "node"), sets).select("node", "cluster", "full", "sig"), "candidate-sets")
     # First every block against the one of the cluster's smallest node.
     sizes = nodes.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("n"))
     home = F.when(F.col("node") == F.col("cluster"), F.lit(0)).otherwise(F.pmod(F.xxhash64("node"), F.col("n")))
@@ -253,10 +268,15 @@ def near_duplicates(
         )
         more = placed.select("cluster", "block", "node", "label").join(data.select("node", "sig", "full"), "node")
         links = links.union(stored(_confirm(more, pairs, percent, rows * bands), "links"))
-    found = components(links)
-    joined = classed.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    component = F.coalesce("component", "rep", "doc_id")
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    # A key with several texts is one document, which links their sets.
+    several_sets = of_rows.where("node is not null").groupBy("doc_id").agg(F.min("node").alias("v"), F.max("node").alias("most")).where("v < most").drop("most")
+    found = stored(components(links.union(of_rows.join(several_sets, "doc_id").where("node != v").select(F.col("node").alias("u"), "v").distinct())), "components")
+    least = found.join(classes.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("component_id"))
+    of_nodes = found.join(least, "component").select("node", "component_id")
+    component = F.coalesce("component_id", "rep", "doc_id")
+    return of_rows.join(of_nodes, "node", "left").select(
+        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")
+    )
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:

@@ -65,6 +65,17 @@ def test_components_equal_all_pairs(spark, monkeypatch, block):
     assert rows_of(minhash.near_duplicates(df, 85)) == slow(rows, 85)
 
 
+def test_one_key_with_several_texts(spark):
+    rng = random.Random(8)
+    a, b, c = (sentence(rng, 120, 5000) for _ in range(3))
+    rows = [(1, a), (1, b), (2, edited(rng, a, 0.004)), (3, edited(rng, b, 0.004)), (9, b), (9, c), (9, None), (9, ""), (7, c), (8, "alone"), (8, None)]
+    for shift in (0, 3):
+        df = spark.createDataFrame([*rows[shift:], *rows[:shift]], "doc_id long, text string")
+        found = rows_of(minhash.near_duplicates(df, 85))
+        assert [r for r in found if r[1]] == [r for r in slow(rows, 85) if r[1]]
+    assert {r[0]: r[2] for r in found if r[1]} == {1: 1, 2: 1, 3: 1, 9: 1, 7: 1, 8: 8}
+
+
 def test_awkward_rows(spark):
     df = awkward(spark)
     rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
