@@ -22,6 +22,7 @@ from monthline.session import scratch_path
 from monthline.sources.sales_csv import REJECTED_LINE, is_rejected, read_sales_csv, scan_lines, with_load_ts
 from monthline.sources.tables import read_log
 from monthline.streaming.ingest import run_stream
+from monthline.streaming.totals import run_totals_stream, stream_totals_table
 
 TRIMMED = """material_group, material_description, trim(sold_state) AS sold_state, supply_location,
   month, fy, net_sales"""
@@ -195,6 +196,17 @@ def stream_monthly_totals(spark, sf):
     return monthly_totals(spark, stream_lots(spark, sf))
 
 
+@query("stateful_monthly_totals", sql_over("agg_sales", select="SELECT * FROM agg_sales"))
+def stateful_monthly_totals(spark, sf):
+    """Two lots, then the query starts again from its checkpoint for the other two, two files a micro-batch."""
+    out, checkpoint, folder = (scratch_path(spark, name) for name in ("state-out", "state-offsets", "state-in"))
+    rows = src.keyed_raw_sales(spark, sf).withColumn("lot", F.col("k") % 4)
+    for lots in ((0, 1), (2, 3)):
+        src.place_sales_files(rows.filter(F.col("lot").isin(*lots)), folder, files=2)
+        run_totals_stream(spark, folder, out, checkpoint, max_files=2, max_batches=3)
+    return stream_totals_table(spark, out)
+
+
 @query(
     "trigger_log",
     sql_over(

@@ -8,6 +8,7 @@ from monthline.functions import fixed
 from monthline.operators.validation import (
     apply_rules,
     check_counts,
+    check_rules,
     failing,
     flag_rows,
     quarantine_sides,
@@ -139,6 +140,30 @@ def truncate_reload_rules(spark, sf):
     return apply_rules(src.raw_sales(spark, sf), read_replaced(spark, path))
 
 
+CONDITIONS = [
+    ("FY_LENGTH", "EXPRESSION", None, "length(fy) = 5"),
+    ("SALES_RANGE", "EXPRESSION", None, "try_cast(replace(net_sales, ',', '') AS decimal(15,2)) BETWEEN 1000 AND 50000"),
+    ("STATE_LIST", "EXPRESSION", None, "trim(sold_state) IN ('FRANCE', 'GERMANY', 'INDIA')"),
+    ("MONTH_PATTERN", "EXPRESSION", None, "month LIKE '___-__'"),
+    ("GROUP_IS_NO_STATE", "EXPRESSION", None, "material_group <> sold_state"),
+    ("FY_NOT_NULL", "NULL_CHECK", "FY", "FY IS NOT NULL"),
+    ("NO_SUCH_COLUMN", "EXPRESSION", None, "region = 'x'"),
+]
+_FAILS = "SELECT '{}' AS rule_name, count(*) FILTER (WHERE NOT coalesce({}, false)) AS failing_rows, false AS has_problem FROM raw_sales"
+CONDITIONS_SQL = sql_over(
+    "raw_sales",
+    select=" UNION ALL ".join(_FAILS.format(name, condition) for name, _, _, condition in CONDITIONS[:-1])
+    + " UNION ALL SELECT 'NO_SUCH_COLUMN', NULL, true",
+)
+
+
+@query("rule_conditions", CONDITIONS_SQL)
+def rule_conditions(spark, sf):
+    """Rules that are conditions of their own; one that cannot be read is reported beside the others' counts."""
+    found = check_rules(src.raw_sales(spark, sf), rules_frame(spark, CONDITIONS))
+    return found.select("rule_name", "failing_rows", F.col("problem").isNotNull().alias("has_problem"))
+
+
 @query(
     "rule_net_sales_positive",
     sql_over(

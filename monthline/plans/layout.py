@@ -36,6 +36,10 @@ class Layout:
     def agg_merged(self) -> str:
         return self._path("features", "agg_merged")
 
+    @property
+    def stream_totals(self) -> str:
+        return self._path("features", "stream_totals")
+
     @property
     def feature_rows(self) -> str:
         return self._path("features", "feature_rows")
@@ -72,6 +76,10 @@ class Layout:
     def series_drift(self) -> str:
         return self._path("monitoring", "series_drift")
 
+    @property
+    def distributions(self) -> str:
+        return self._path("monitoring", "distributions")
+
     @property
     def runs(self) -> str:
         return self._path("monitoring", "runs")

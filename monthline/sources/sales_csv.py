@@ -74,6 +74,14 @@ def scan_lines(spark: SparkSession, path: str | list[str], null_tokens: Sequence
     return lines.unionByName(_read(spark, readable(split), null_tokens)) if split else lines
 
 
+def stream_lines(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Lines of new files, split at every line break."""
+    reader = spark.readStream.schema(LINE_SCHEMA).options(**CSV_OPTIONS)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return tag_lines(reader.csv(path))
+
+
 def no_lines(spark: SparkSession) -> DataFrame:
     """What ``scan_lines`` gives for no file at all."""
     extra = [T.StructField("source_file", T.StringType()), *[T.StructField(name, kind) for name, kind in FILE.items()]]

@@ -97,11 +97,18 @@ def compact_log(spark: SparkSession, path: str, schema: T.StructType, max_folder
     folders = batch_folders(spark, path)
     if len(folders) <= max_folders:
         return False
-    replace_table(read_log(spark, path, schema), f"{path}/{_MERGED}")
-    remove_batches(spark, path, folders)
+    replace_log(read_log(spark, path, schema), path)
     return True
 
 
+def replace_log(rows: DataFrame, path: str) -> None:
+    """Put ``rows`` (with their batch) in place of all that the log holds now."""
+    spark = rows.sparkSession
+    folders = batch_folders(spark, path)
+    replace_table(rows, f"{path}/{_MERGED}")
+    remove_batches(spark, path, folders)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)

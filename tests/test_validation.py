@@ -9,9 +9,11 @@ import pytest
 from conftest import ordered, rows_of
 from monthline import schemas
 from monthline.functions import fixed
+from monthline.operators import validation
 from monthline.operators.validation import (
     apply_rules,
     check_counts,
+    check_rules,
     flag_rows,
     quarantine,
     summarise,
@@ -146,6 +148,45 @@ def test_unknown_rule_is_refused(spark):
             apply_rules(raw(spark, [GOOD]), rules_frame(spark, [rule])).collect()
 
 
+RULES = [
+    ("COMPARE", "EXPRESSION", None, "length(fy) = 5"),
+    ("RANGE", "EXPRESSION", "NET_SALES", "try_cast(net_sales AS double) BETWEEN 0 AND 500"),
+    ("LIST", "EXPRESSION", None, "upper(sold_state) IN ('CA', 'TX')"),
+    ("PATTERN", "EXPRESSION", None, "month RLIKE '^[A-Z][a-z]{2}-[0-9]{2}$'"),
+    ("COLUMNS", "EXPRESSION", None, "material_group <> material_description"),
+    ("NULL_CHECK", "NULL_CHECK", "FY", "FY IS NOT NULL"),
+    ("PRESENT", "SCHEMA", "FY", "Column must exist"),
+    ("ABSENT", "SCHEMA", "REGION", "Column must exist"),
+    ("NO_COLUMN", "EXPRESSION", None, "region = 'x'"),
+    ("NO_SQL", "EXPRESSION", None, "fy = = 5"),
+    ("NO_CONDITION", "EXPRESSION", None, "fy"),
+    ("AGGREGATE", "EXPRESSION", None, "sum(length(fy)) > 1"),
+    ("EMPTY", "EXPRESSION", None, None),
+    ("MAGIC", "MAGIC", "FY", "?"),
+    ("OFF", "EXPRESSION", None, "false", False),
+]
+
+
+@pytest.mark.parametrize("per_scan", [200, 2])
+def test_rules_as_conditions(spark, monkeypatch, per_scan):
+    monkeypatch.setattr(validation, "CHECKS_PER_SCAN", per_scan)
+    rows = [GOOD, change(fy=None), change(sold_state="ny"), change(net_sales="x"), change(month="jan24")]
+    got = {r.rule_name: (r.failing_rows, r.problem) for r in check_rules(raw(spark, rows), rules_frame(spark, RULES)).collect()}
+    assert got["COMPARE"] == (1, None) and got["NULL_CHECK"] == (1, None)
+    assert got["PRESENT"] == (0, None) and got["ABSENT"] == (5, None)
+    assert got["RANGE"] == (5, None) and got["COLUMNS"] == (0, None)
+    assert got["PATTERN"] == (1, None) and got["LIST"] == (5, None) and "OFF" not in got
+    for name in ("NO_COLUMN", "NO_SQL", "NO_CONDITION", "AGGREGATE", "EMPTY", "MAGIC"):
+        assert got[name][0] is None and got[name][1], name
+    assert check_rules(raw(spark, []), rules_frame(spark, RULES[:1])).collect()[0].failing_rows == 0
+    assert check_rules(raw(spark, rows), rules_frame(spark, RULES[-1:])).collect() == []
+
+
+def test_only_asked_checks_are_counted(spark):
+    plan = apply_rules(raw(spark, [GOOD]), rules_frame(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("count_if") + plan.count("count(if") <= 12
+
+
 def test_many_rules_are_one_pass(spark):
     rules = [(f"R{i}", "NULL_CHECK", "FY", "FY IS NOT NULL") for i in range(12_000)]
     got = apply_rules(raw(spark, [GOOD, change(fy=None)]), rules_frame(spark, rules))
