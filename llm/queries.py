@@ -22,7 +22,7 @@ def op3_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.place(table(spark, sf_dir, "documents").select("doc_id"))
+    return sharding.shard_files(table(spark, sf_dir, "documents"), scratch_path(spark, "shards"))
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

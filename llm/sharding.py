@@ -15,7 +15,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from llm.common import fresh
 
@@ -75,3 +75,12 @@ def write_shards(placed: DataFrame, path: str, parts: int = 8, slot: str = "slot
     tasks = placed.sparkSession.conf.get("spark.sql.shuffle.partitions")
     spread = F.pmod(F.xxhash64(*[c for c, kind in placed.dtypes if "map<" not in kind and "variant" not in kind]), F.lit(parts))
     placed.repartition(int(tasks), F.col(shard), spread).write.partitionBy(shard).parquet(path)
+
+
+def shard_files(docs: DataFrame, path: str, shards: Sequence[str] | None = None) -> DataFrame:
+    """Write (doc_id, text) into shards and tell what the files hold: (doc_id, slot, shard, n_bytes, text_crc32)."""
+    spark = docs.sparkSession
+    write_shards(place(docs.select("doc_id", "text"), shards=shards), path)
+    text = F.col("text").cast("binary")
+    schema = T.StructType([docs.schema["doc_id"], docs.schema["text"], T.StructField("slot", T.IntegerType()), T.StructField("shard", T.IntegerType())])
+    return spark.read.schema(schema).parquet(path).select("doc_id", "slot", "shard", F.octet_length(text).cast("long").alias("n_bytes"), F.crc32(text).alias("text_crc32"))

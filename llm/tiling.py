@@ -52,34 +52,53 @@ def _runs(tokens: Sequence[int], free: list[bool], length: int) -> Iterator[tupl
             yield i - length + 1, value
 
 
+def _longest_free(free: list[bool]) -> int:
+    run = best = 0
+    for is_free in free:
+        run = run + 1 if is_free else 0
+        best = max(best, run)
+    return best
+
+
+def _share_a_run(document: Sequence[int], free_d: list[bool], item: Sequence[int], free_i: list[bool], length: int) -> bool:
+    wanted = {value for _, value in _runs(item, free_i, length)}
+    return bool(wanted) and any(value in wanted for _, value in _runs(document, free_d, length))
+
+
 def tiles(document: Sequence[int], item: Sequence[int], least: int = SEED) -> list[tuple[int, int, int]]:
-    """(place in the document, place in the item, length) of the tiles, longest first."""
+    """(place in the document, place in the item, length) of the tiles, longest first.
+
+    Where a run of some length is shared, one of every smaller length is, so the
+    longest is found by halving, not by going through all lengths.
+    """
     least = max(1, min(least, len(item)))
     free_d, free_i = [True] * len(document), [True] * len(item)
     out: list[tuple[int, int, int]] = []
-    length = min(len(document), len(item))
     # The longest match is at most as long as the longest run of document tokens that the item has at all.
-    known, run, best = set(item), 0, 0
-    for token in document:
-        run = run + 1 if token in known else 0
-        best = max(best, run)
-    length = min(length, best)
-    while length >= least:
+    known = set(item)
+    most = _longest_free([token in known for token in document])
+    while True:
+        low, high = least, min(most, _longest_free(free_d), _longest_free(free_i))
+        if low > high or not _share_a_run(document, free_d, item, free_i, low):
+            return out
+        while low < high:
+            middle = (low + high + 1) // 2
+            if _share_a_run(document, free_d, item, free_i, middle):
+                low = middle
+            else:
+                high = middle - 1
         places = defaultdict(list)
-        for j, value in _runs(item, free_i, length):
+        for j, value in _runs(item, free_i, low):
             places[value].append(j)
-        marked = False
-        for i, value in list(_runs(document, free_d, length)) if places else ():
+        most = low
+        for i, value in list(_runs(document, free_d, low)):
             for j in places.get(value, ()):
-                if all(free_d[i : i + length]) and all(free_i[j : j + length]) and document[i : i + length] == item[j : j + length]:
-                    free_d[i : i + length] = [False] * length
-                    free_i[j : j + length] = [False] * length
-                    out.append((i, j, length))
-                    marked = True
+                if all(free_d[i : i + low]) and all(free_i[j : j + low]) and document[i : i + low] == item[j : j + low]:
+                    free_d[i : i + low] = [False] * low
+                    free_i[j : j + low] = [False] * low
+                    out.append((i, j, low))
                     break
-        if not marked:
-            length -= 1
-    return out
+        most -= 1  # all of this length are marked, or only hashes agreed
 
 
 def _near(words: np.ndarray, hits: np.ndarray, reach: int) -> list[int]:

@@ -1,4 +1,6 @@
 import hashlib
+import os
+import zlib
 from collections import Counter
 
 import pytest
@@ -61,3 +63,16 @@ def test_a_large_table_is_joined_without_a_hint(spark, monkeypatch):
     monkeypatch.setattr(sharding, "BROADCAST_SLOTS", 10)
     few = sharding.place(awkward(spark).select("doc_id"), shards=["a", "b"], slots=101)
     assert few.count() == awkward(spark).count()
+
+
+@pytest.mark.parametrize("kind", ["awkward", "empty"])
+def test_shard_files_hold_every_row(spark, folder, kind):
+    df = awkward(spark, 3) if kind == "awkward" else empty(spark)
+    names = [f"s{k}" for k in range(5)]
+    found = sharding.shard_files(df, folder("shards"), names).collect()
+    table = sharding.lookup_table(names)
+    assert all(r.shard == table[r.slot] for r in found)
+    expected = [(r.doc_id, None, None) if r.text is None else (r.doc_id, len(r.text.encode()), zlib.crc32(r.text.encode())) for r in df.collect()]
+    assert sorted(((r.doc_id, r.n_bytes, r.text_crc32) for r in found), key=str) == sorted(expected, key=str)
+    if found:
+        assert {f.split("=")[1] for f in os.listdir(folder("shards")) if "=" in f} == {str(r.shard) for r in found}

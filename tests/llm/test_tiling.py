@@ -1,4 +1,5 @@
 import random
+import time
 
 from hypothesis import given, settings, strategies as st
 
@@ -33,6 +34,16 @@ def test_tiles_equal_the_slow_ones(document, item, least):
     assert tiling.tiles(document, item, least) == slow_tiles(document, item, least)
 
 
+def test_long_texts_take_little_more_than_their_length():
+    rng = random.Random(4)
+    item = [rng.randrange(10**6) for _ in range(20_000)]
+    for document in (item, item[:9000] + [-2] + item[9000:], [-3] * 50 + item[::-1]):
+        begin = time.process_time()
+        found = tiling.tiles(document, item)
+        assert time.process_time() - begin < 20
+        assert sum(n for _, _, n in found) == (20_000 if document[1] == item[1] else 0)
+
+
 def tables(spark):
     rng = random.Random(3)
     items = [sentence(rng, 40, 3000) for _ in range(6)] + ["only four words here", "", None]
