@@ -75,6 +75,10 @@ DRIFT_METRICS = ["Y_MEAN", "Y_STD", "Y_MIN", "Y_MAX", "RECORD_COUNT"]
 DRIFT_LABELS = [(10.0, "NORMAL"), (25.0, "WARNING")]
 DRIFT_WORST = "CRITICAL"
 DRIFT_BASELINE = "BASELINE"
+# Quantile sketches: their size, the error of a rank at that size (99 %), and the factor of the two-sample bound at 95 %.
+SKETCH_SIZE = 200
+SKETCH_RANK_ERROR = 0.0133
+CHANCE_FACTOR = 1.358
 AGING_DAYS = 30
 STALE_DAYS = 90
 SUMMARY_METRICS = [

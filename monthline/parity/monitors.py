@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from monthline import schemas
+from monthline.functions import fixed
 from monthline.operators import reports
+from monthline.operators.distribution import distribution_step
 from monthline.operators.features import SERIES
 from monthline.operators.monitoring import drift_baseline, drift_check, drift_step, health_run, model_health, summary_view
 from monthline.parity import inputs as src
@@ -230,3 +233,35 @@ def dash_run_history(spark, sf):
 )
 def dash_trigger_history(spark, sf):
     return reports.trigger_history(src.triggers(spark, sf))
+
+
+_RANKED = """SELECT brand, state, y, row_number() OVER (PARTITION BY brand, state ORDER BY y) AS i,
+      count(*) OVER (PARTITION BY brand, state) AS n FROM {}"""
+
+DISTRIBUTION_SQL = sql_over(
+    "features",
+    select=f"""
+    , early AS (SELECT * FROM features WHERE ds < DATE '{src.BASELINE_BEFORE}'),
+    a AS ({_RANKED.format("early")}), b AS ({_RANKED.format("features")}),
+    qa AS (SELECT brand, state, n, list(y) AS q FROM a JOIN range(65) p(k) ON i = greatest(1, CAST(ceil(k / 64.0 * n) AS BIGINT)) GROUP BY ALL),
+    qb AS (SELECT brand, state, n, list(y) AS q FROM b JOIN range(65) p(k) ON i = greatest(1, CAST(ceil(k / 64.0 * n) AS BIGINT)) GROUP BY ALL),
+    far AS (
+      SELECT b.brand, b.state, b.n, a.n AS m,
+        CASE WHEN a.n IS NULL THEN 0 ELSE list_max(list_transform(list_concat(a.q, b.q), lambda x:
+          abs(len(list_filter(a.q, lambda v: v <= x)) - len(list_filter(b.q, lambda v: v <= x))))) / 65.0 END AS distance
+      FROM qb b LEFT JOIN qa a ON a.brand IS NOT DISTINCT FROM b.brand AND a.state IS NOT DISTINCT FROM b.state)
+    SELECT brand, state, n, round(distance, 6) AS distance,
+      CASE WHEN m IS NULL THEN 'BASELINE' WHEN score < 10 THEN 'NORMAL' WHEN score < 25 THEN 'WARNING' ELSE 'CRITICAL' END AS drift_status
+    FROM (SELECT *, greatest(distance - {fixed.CHANCE_FACTOR} * sqrt((n + m) / (n * m)) - {2 * fixed.SKETCH_RANK_ERROR + 1 / 64}, 0) * 100 AS score FROM far)""",
+)
+
+
+@query("distribution_drift", DISTRIBUTION_SQL)
+def distribution_drift(spark, sf):
+    """The features before the cut date as first sketches, all features against them. Series this short are held whole by a sketch."""
+    rows = src.features(spark, sf)
+    early = rows.filter(F.col("ds") < F.lit(src.BASELINE_BEFORE).cast("date"))
+    nothing = spark.createDataFrame([], schemas.SERIES_DISTRIBUTION)
+    first = distribution_step(early, nothing, src.SERIES, NOW)
+    found = distribution_step(rows, first, src.SERIES, NOW)
+    return found.select("brand", "state", "n", F.round("distance", 6).alias("distance"), "drift_status")

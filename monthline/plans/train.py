@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from monthline import schemas
 from monthline.functions import fixed
 from monthline.functions.dates import moment
+from monthline.operators.distribution import distribution_step
 from monthline.operators.features import SERIES
 from monthline.operators.forecast import (
     enough_history,
@@ -168,6 +169,7 @@ def tidy(spark: SparkSession, layout: Layout) -> None:
         layout.prediction_log: schemas.PREDICTION_LOG,
         layout.drift_metrics: schemas.DRIFT_METRICS,
         layout.series_drift: schemas.SERIES_DRIFT,
+        layout.distributions: schemas.SERIES_DISTRIBUTION,
         layout.runs: schemas.PIPELINE_RUNS,
         layout.trigger_log: schemas.TRIGGER_LOG,
         layout.trained_series: schemas.TRAINED_SERIES,
@@ -211,6 +213,13 @@ def check_series_drift(spark: SparkSession, layout: Layout, batch: str, now: dat
     append_log(numbered.select(*schemas.SERIES_DRIFT.names), layout.series_drift, batch)
 
 
+def check_distributions(spark: SparkSession, layout: Layout, batch: str, now: datetime) -> None:
+    """The whole distribution of every series against its first one."""
+    log = read_log(spark, layout.distributions, schemas.SERIES_DISTRIBUTION).filter(F.col(BATCH) != batch)
+    rows = distribution_step(stored_features(spark, layout), log, SERIES, now)
+    append_log(rows.select(*schemas.SERIES_DISTRIBUTION.names), layout.distributions, batch)
+
+
 def _log_run(
     spark: SparkSession, layout: Layout, record: DataFrame, batch: str, few: bool = True
 ) -> None:
@@ -258,6 +267,7 @@ def run_pipeline(
         compare_and_promote(spark, layout, batch, now)
         check_drift(spark, layout, batch, now)
         check_series_drift(spark, layout, batch, now)
+        check_distributions(spark, layout, batch, now)
         tidy(spark, layout)
     except Exception as problem:
         _log_full_run(spark, layout, batch, now, "FAILED", None, started, str(problem))

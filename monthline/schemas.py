@@ -164,3 +164,8 @@ TRIGGER_LOG = _struct(run_time=_moment, new_rows=_whole, trigger_type=_text)
 TRAINED_SERIES = _struct(model_name=_text, n=_whole, fingerprint=_text, trained=_moment)
 
 UNTRAINED_SERIES = _struct(model_name=_text, series=_text, n=_whole, reason=_text)
+
+#: Sketches of each series, and how far they are from its first one.
+SERIES_DISTRIBUTION = _struct(
+    brand=_text, state=_text, check_date=_moment, n=_whole, sketch=T.BinaryType(), distance=_real, drift_score=_real, drift_status=_text
+)
