@@ -3,6 +3,11 @@
 Stages are written as Parquet and read again in between, so a lost executor
 costs no more than a part of one stage. All but the last return the columns of
 the documents as they are.
+
+Defined results: documents without text pass the first three stages; documents without a
+key are near copies of nothing; of rows that repeat a key and a text one stays;
+documents without words are taken as often as others of their source; columns that the
+stages do not know stay; no documents give no shards.
 """
 
 from __future__ import annotations
