@@ -4,6 +4,9 @@ Tokens are added up per source, the budget is shared by weight, and each
 document is emitted ``floor(rate)`` times plus one copy drawn by a hash with the
 fraction as its probability. ``rate`` is its source's target over its size.
 
+Shares are settled over one row per source in one task: the weights are given by
+hand in the order of the sources, which so are thousands, not as many as documents.
+
 Defined results: a null or empty text has size 0 and is taken 0 words; null
 sources form one source, last in order; rows with equal keys share one draw; a
 null key draws like the text ``null``; an empty table gives an empty table;

@@ -10,7 +10,8 @@ a weight; a word alone has no score, the clause it stands in decides.
 The insult words and word beginnings, and their weights, are learned from
 labelled texts, beside the short lists below. A logistic curve over the clause
 scores, fitted to the same texts, gives the score of a text. At most about
-``LABELLED`` labelled texts, chosen by a hash of the key, are learned from.
+``LABELLED`` labelled texts, chosen by a hash of the key, are learned from, and the
+``ENTRIES`` words and beginnings with the most evidence are kept.
 
 Defined results: null, empty and wordless texts have no clause and get the
 curve's lowest score; very long texts are read whole; rows that repeat a key are
