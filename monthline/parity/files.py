@@ -16,9 +16,10 @@ from monthline.parity.feature_queries import FEATURE_SQL
 from monthline.plans.feature_table import numbered_features, refresh
 from monthline.plans.load import landed_rows, validate_and_load
 from monthline.plans.load import raw_sales as landed_sales
+from monthline.plans.repair import quarantined, repair
 from monthline.plans.totals import aggregate_pending, merge_parts, monthly_totals
 from monthline.plans.train import run_pipeline, stored_registry, untrained_series
-from monthline.session import scratch_path
+from monthline.session import freeze, scratch_path
 from monthline.sources.sales_csv import REJECTED_LINE, is_rejected, read_sales_csv, scan_lines, with_load_ts
 from monthline.sources.tables import read_log
 from monthline.streaming.ingest import run_stream
@@ -286,6 +287,19 @@ def merged_totals(spark, sf):
     return monthly_totals(spark, Layout(out))
 
 
+@query("repaired_rows", sql_over("keyed_raw", select=f"SELECT {TRIMMED} FROM keyed_raw WHERE k % 53 <> 0"))
+def repaired_rows(spark, sf):
+    """Lines with one field too many come back without it, offered twice; those with one too few stay rejected."""
+    out = scratch_path(spark, "repaired")
+    validate_and_load(spark, src.write_sales_files(spark, sf, broken=True), out, "first", NOW)
+    layout = Layout(out)
+    waiting = quarantined(spark, layout).filter(F.col(REJECTED_LINE).endswith(",extra"))
+    repairs = freeze(waiting.withColumn("repaired_line", F.expr(f"left({REJECTED_LINE}, length({REJECTED_LINE}) - 6)")))
+    for batch in ("repair", "repair again"):
+        repair(spark, layout, repairs, batch, NOW)
+    return landed_sales(spark, layout).select(*FIELDS)
+
+
 BREAKS_SQL = sql_over(
     "keyed_raw",
     select=f"""SELECT {TRIMMED} FROM (SELECT * REPLACE (CASE WHEN k % 4 < 2 AND k % 5 = 0

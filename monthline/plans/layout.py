@@ -20,6 +20,10 @@ class Layout:
     def landed_files(self) -> str:
         return self._path("raw", "landed_files")
 
+    @property
+    def repaired_lines(self) -> str:
+        return self._path("raw", "repaired_lines")
+
     @property
     def validation_log(self) -> str:
         return self._path("staging", "validation_log")

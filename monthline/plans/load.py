@@ -110,6 +110,11 @@ def rejected_lines(spark: SparkSession, layout: Layout, batch: str | None = None
     return _landing(spark, layout, REJECTED, batch).select("source_file", REJECTED_LINE, BATCH)
 
 
+def rejected_rows(spark: SparkSession, layout: Layout) -> DataFrame:
+    """All rejected lines with their batch and file version."""
+    return _landing(spark, layout, REJECTED, None)
+
+
 def validate_batch(
     spark: SparkSession, layout: Layout, batch: str, now: datetime | None = None
 ) -> DataFrame:

@@ -44,6 +44,7 @@ from monthline.operators.piecewise import score_piecewise
 from monthline.plans.layout import Layout
 from monthline.plans.load import FILE_VERSIONS, raw_sales
 from monthline.plans.feature_table import refresh, stored_features
+from monthline.plans.repair import REPAIRED_LINES
 from monthline.plans.totals import aggregate_pending, merge_parts, monthly_totals
 from monthline.session import freeze
 from monthline.sources.tables import (
@@ -163,6 +164,7 @@ def tidy(spark: SparkSession, layout: Layout) -> None:
     merge_parts(spark, layout)
     logs = {
         layout.landed_files: FILE_VERSIONS,
+        layout.repaired_lines: REPAIRED_LINES,
         layout.validation_log: schemas.VALIDATION_LOG,
         layout.model_events: schemas.MODEL_EVENTS,
         layout.comparison_log: schemas.MODEL_COMPARISON_LOG,
