@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from datetime import date
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import ordered, rows_of
+from conftest import SMALL, ordered, rows_of
 from monthline.operators import forecast as fc
 from monthline.operators.piecewise import fit_piecewise
+from monthline.parity import inputs as src
 
 FACTORS = [0.7, 0.8, 0.9, 1.0, 1.1, 1.2, 1.3, 1.2, 1.1, 1.0, 0.9, 0.8]
 
@@ -138,3 +141,47 @@ def test_piecewise_follows_a_seasonal_line(spark):
 def test_prediction_rows(spark, now):
     scored = spark.createDataFrame([("B", month(0), 10.0, 8.0)], "brand string, ds date, y double, yhat double")
     assert rows_of(fc.prediction_rows(scored, "v1", now)) == [("v1", now, "B", None, "2015-01", 8.0, 10.0, 2.0)]
+
+
+def dense_piecewise(rows, n_train, knots=25, waves=6, ridge=1.0):
+    """The same penalized loss, written out term by term and solved as one long least-squares system per turn."""
+    months = [(d.year - 2000) * 12 + d.month for d, _ in rows]
+    y = np.array([v for _, v in rows])
+    t = [(m - months[0]) / max(months[n_train - 1] - months[0], 1) for m in months]
+    count = min(knots, max(int(n_train * 0.8) - 1, 0))
+    at = [0.8 * k / count for k in range(1, count + 1)]
+    line = np.array([[1.0, x] + [max(x - a, 0.0) for a in at] for x in t])
+    wave = np.array([[f(2 * math.pi * k * m / 12) for f in (math.sin, math.cos) for k in range(1, waves + 1)] for m in months])
+    scale = abs(y[:n_train]).max()
+    target, season = y[:n_train] / scale, np.zeros(len(t))
+    hold_line = np.sqrt([1e-9, 1e-9] + [ridge] * count)
+    hold_wave = np.sqrt([ridge / 100] * (2 * waves))
+
+    def solved(design, goal, hold):
+        return np.linalg.lstsq(np.vstack([design, np.diag(hold)]), np.concatenate([goal, np.zeros(len(hold))]), rcond=None)[0]
+
+    loss = math.inf
+    while True:
+        a = solved(line[:n_train] * (1 + season[:n_train, None]), target, hold_line)
+        trend = line @ a
+        b = solved(wave[:n_train] * trend[:n_train, None], target - trend[:n_train], hold_wave)
+        season = wave @ b
+        gap = target - trend[:n_train] * (1 + season[:n_train])
+        before, loss = loss, (gap**2).sum() + ((hold_line * a) ** 2).sum() + ((hold_wave * b) ** 2).sum()
+        if before - loss <= 1e-7 * (target**2).sum():
+            return trend * (1 + season) * scale
+
+
+def test_piecewise_values_equal_a_dense_solver(spark):
+    months = src.month_series(spark, SMALL)
+    chosen = [tuple(r) for r in months.groupBy("brand", "state").count().orderBy(F.desc("count"), "brand", "state").limit(6).select("brand", "state").collect()]
+    wanted = spark.createDataFrame(chosen, "brand string, state string")
+    found = {}
+    for r in fit_piecewise(months.join(wanted, ["brand", "state"]), ["brand", "state"]).collect():
+        found.setdefault((r.brand, r.state), []).append((r.ds, r.y, r.is_train, r.yhat))
+    assert len(found) == 6
+    for rows in found.values():
+        rows.sort()
+        expected = dense_piecewise([(d, y) for d, y, _, _ in rows], sum(is_train for _, _, is_train, _ in rows))
+        size = max(abs(y) for _, y, _, _ in rows)
+        assert max(abs(r[3] - e) for r, e in zip(rows, expected, strict=True)) < 1e-4 * size
