@@ -94,6 +94,10 @@ def rule_column(rule: tuple[Condition, ...]) -> Column:
     return out
 
 
+#: Parts that labelled rows are dealt out to: so many at least, and one more for every so many rows.
+LEAST_PARTS, ROWS_IN_PART = 8, 50_000
+
+
 @dataclass
 class Ensemble:
     intercept: float
@@ -110,13 +114,15 @@ def fit(stats: DataFrame, labels: DataFrame, trees: int = TREES, depth: int = DE
     """Rules and weights from statistics and (doc_id, label)."""
     names = [c for c in stats.columns if c != "doc_id"]
     rows = stored(
-        stats.join(clear_labels(labels), "doc_id").select(F.col("label").cast("double").alias("label"), *names), "quality-labelled"
+        stats.join(clear_labels(labels), "doc_id").select("doc_id", F.col("label").cast("double").alias("label"), *names), "quality-labelled"
     )
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     good, bad = counts.get(1.0, 0), counts.get(0.0, 0)
     if not good or not bad:
         share = (good + 0.5) / (good + bad + 1) if good or bad else 0.5
         return Ensemble(float(_logit(share)), [])
+    # Drawn rows and sums depend on where rows lie, so they are dealt out and ordered by their key and figures.
+    rows = rows.repartition(max(LEAST_PARTS, (good + bad) // ROWS_IN_PART), "doc_id").sortWithinPartitions("doc_id", "label", *names)
     vectors = rows.select("label", array_to_vector(F.array(*names)).alias("features"))
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED, featureSubsetStrategy="onethird").fit(vectors)
     rules = sorted({rule for tree in forest.trees for rule in paths(tree.toDebugString)})

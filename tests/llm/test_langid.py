@@ -1,3 +1,6 @@
+import math
+
+import zstandard
 from pyspark.sql import functions as F
 
 from llm import langid
@@ -17,6 +20,31 @@ def test_held_out_languages_are_not_seen(spark):
     assert rows_of(langid.identify(other)) == rows_of(langid.identify(docs))
 
 
+def slow_choice(text, contents):
+    """Every language's dictionary alone: sizes of the pieces added up, the smallest wins, then the first by name."""
+    kept = "".join(c if ord(c) > 127 or c.isalpha() else " " for c in (text or "").lower()).split()
+    if not any(c.isalpha() for c in text or ""):
+        return "und", 0.0
+    data = (" " + " ".join(kept) + " ").encode()
+    sizes = {}
+    for lang, content in contents.items():
+        shared = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        press = zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=shared, write_content_size=False, write_checksum=False)
+        sizes[lang] = sum(len(press.compress(data[k : k + langid.PIECE])) for k in range(0, len(data), langid.PIECE))
+    best = min(sizes.values())
+    return min(k for k, n in sizes.items() if n == best), 1 / sum(math.exp(-langid.STEEPNESS * (n - best) / best) for n in sizes.values())
+
+
+def test_choice_equals_every_dictionary_by_itself(spark):
+    docs = spark.read.parquet(SMALL + "/documents.parquet").select("doc_id", "text", "lang", "source")
+    docs = docs.unionByName(awkward(spark).select("doc_id", "text", "lang", "source").where("doc_id is null or doc_id < 0"))
+    contents = langid.samples(docs)
+    expected = {r.doc_id: slow_choice(r.text, contents) for r in docs.collect()}
+    for r in langid.identify(docs.repartition(5)).collect():
+        lang, score = expected[r.doc_id]
+        assert r.lang_pred == lang and abs(r.score - score) < 1e-12
+
+
 def test_letters_decide_whether_there_is_a_language(spark):
     df = awkward(spark)
     found = {r.doc_id: r for r in langid.identify(df).collect()}

@@ -1,3 +1,6 @@
+import math
+
+import regex
 from pyspark.sql import functions as F
 
 from llm import quality
@@ -29,6 +32,38 @@ def test_held_out_accuracy(spark):
     assert rows_of(quality.rate(few, other)) == rows_of(quality.rate(few, known))
 
 
+def slow_statistics(text):
+    """The ten figures of a text, counted letter by letter and word by word."""
+    text = text or ""
+    words = regex.findall(r"[^\x20\x09-\x0D]+", text)
+    lowered = {w for w in regex.split(r"[\x20\x09-\x0D]+", text.lower()) if w}
+    share = lambda kind: sum(bool(regex.fullmatch(kind, c)) for c in text) / max(1, len(text))
+    n = max(1, len(words))
+    return [
+        math.log1p(len(words)), len(text) / n, len(lowered) / n, share(r"\p{Lu}"), share(r"[^\p{L}\p{N}\s.,;:!?'\"()-]"), share("[!?]"), share(r"\p{N}"),
+        sum(c in ".,;:" for c in text) / n, text.count("\n") / n, math.log1p(len(lowered)),
+    ]
+
+
+def test_scores_equal_the_rules_one_by_one(spark):
+    docs, known = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    stats = quality.statistics(docs)
+    model = quality.fit(stats, known.selectExpr("doc_id", "quality label"))
+    assert model.weights
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in stats.select("*", model.score().alias("p")).collect():
+        own = slow_statistics(texts[r.doc_id])
+        assert all(abs(r[f"s{k}"] - x) < 1e-9 for k, x in enumerate(own))
+        total = model.intercept + sum(w for rule, w in model.weights if all(r[f"s{k}"] <= b if sign == "<=" else r[f"s{k}"] > b for k, sign, b in rule))
+        assert abs(r.p - 1 / (1 + math.exp(-total))) < 1e-12
+
+
+def test_reruns_over_other_partitions_agree(spark):
+    docs, known = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    found = [rows_of(quality.rate(d, known).selectExpr("doc_id", "round(score, 6) score", "predicted")) for d in (docs, docs.repartition(3))]
+    assert [r[2] for r in found[0]] == [r[2] for r in found[1]]
+
+
 def test_few_rules_are_kept_and_the_column_adds_them_up(spark):
     rule = ((0, "<=", 1.0), (1, ">", 2.0))
     model = quality.Ensemble(-1.0, [(rule, 3.0)])
