@@ -40,8 +40,6 @@ BANDS = 30
 SEED = 20_240_607
 #: Nodes in a block of a candidate cluster.
 BLOCK = 256
-#: Of sets without shingles.
-NO_BAND = pa.array([[]], pa.list_(pa.int64()))
 
 
 def _family(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -76,43 +74,39 @@ def _fingerprint(sets: list[np.ndarray]) -> list[pa.Array]:
 
 
 def signatures(docs: DataFrame, size: int, rows: int, bands: int) -> DataFrame:
-    """(doc_id, n_shingles, f1, f2, bands, sig) per row of (doc_id, text).
+    """(doc_id, f1, f2, n_shingles, sig) per row of (doc_id, text).
 
-    ``f1`` and ``f2`` are a 128-bit fingerprint of the whole set; ``sig`` has 16 bits of each minimum.
+    ``f1`` and ``f2`` are a 128-bit fingerprint of the whole set; ``sig`` has 16 bits of each minimum, band by band.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _family(rows * bands)
-        weigh = _family(rows + 1)[0]
         for batch in batches:
             for part, sets in _sets(batch, size):
                 low = np.stack([minima(s, a, b) for s in sets])
-                keys = ((low ^ (low >> np.uint64(32))).reshape(len(sets), bands, rows) * weigh[None, None, 1:]).sum(axis=2)
-                keys ^= keys >> np.uint64(32)
                 short = (low ^ (low >> np.uint64(32))).astype("<u2")
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         *_fingerprint(sets),
-                        pa.array([k if len(s) else k[:0] for k, s in zip(keys.view(np.int64), sets, strict=True)], pa.list_(pa.int64())),
                         pa.array([x.tobytes() for x in short], pa.binary()),
                     ],
-                    ["doc_id", *SET, "bands", "sig"],
+                    ["doc_id", *SET, "sig"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, f1 long, f2 long, n_shingles long, bands array<long>, sig binary")
+    return docs.mapInArrow(run, "doc_id long, f1 long, f2 long, n_shingles long, sig binary")
 
 
 SET = ["f1", "f2", "n_shingles"]
 
 
 def _classes(signed: DataFrame) -> DataFrame:
-    """One row per distinct set that is not empty: its number, its smallest doc_id, its bands and signature.
+    """One row per distinct set that is not empty: its number, its smallest doc_id and its signature.
 
     Copies are folded inside each task before the shuffle.
     """
     linked = signed.where("n_shingles > 0 and doc_id is not null")
-    classes = linked.groupBy(*SET).agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig"))
+    classes = linked.groupBy(*SET).agg(F.min("doc_id").alias("rep"), F.any_value("sig").alias("sig"))
     return classes.withColumn("node", F.monotonically_increasing_id())
 
 
@@ -123,12 +117,15 @@ def _same_set(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFram
     return joined.drop(*[f"_{name}" for name in SET])
 
 
-def _candidate_links(banded: DataFrame) -> DataFrame:
+def _candidate_links(classes: DataFrame, rows_in_band: int, bands: int) -> DataFrame:
     """Links from each member of a band's bucket to the bucket's smallest member.
 
-    The heads are written before they are joined, so Spark can split the rows of a large bucket.
+    A band's key is made from the bits of its minima that the signature holds; where those
+    agree by chance, a pair more is looked at. The heads are written before they are joined, so Spark can split the rows of a large bucket.
     """
-    rows = banded.select("node", F.posexplode("bands").alias("band", "key"))
+    width = 2 * rows_in_band
+    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda band: F.xxhash64(F.substr("sig", band * width + 1, F.lit(width))))
+    rows = classes.select("node", F.posexplode(keys).alias("band", "key"))
     heads = stored(rows.groupBy("band", "key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "heads")
     return rows.join(heads, ["band", "key"]).where("node != head").select(F.col("node").alias("u"), F.col("head").alias("v")).distinct()
 
@@ -245,7 +242,7 @@ def near_duplicates(
         ),
         "rows",
     )
-    candidates = stored(_candidate_links(classes), "candidates")
+    candidates = stored(_candidate_links(classes, rows, bands), "candidates")
     nodes = stored(components(candidates).withColumnRenamed("component", "cluster"), "clusters")
     sets = _full_sets(texts, classes.join(nodes, "node", "left_semi"), size)
     data = stored(_same_set(nodes.join(classes.select(*SET, "node", "sig"), "node"), sets).select("node", "cluster", "full", "sig"), "candidate-sets")
@@ -270,7 +267,7 @@ def near_duplicates(
         links = links.union(stored(_confirm(more, pairs, percent, rows * bands), "links"))
     # A key with several texts is one document, which links their sets.
     several_sets = of_rows.where("node is not null").groupBy("doc_id").agg(F.min("node").alias("v"), F.max("node").alias("most")).where("v < most").drop("most")
-    found = stored(components(links.union(of_rows.join(several_sets, "doc_id").where("node != v").select(F.col("node").alias("u"), "v").distinct())), "components")
+    found = components(links.union(of_rows.join(several_sets, "doc_id").where("node != v").select(F.col("node").alias("u"), "v").distinct()))
     least = found.join(classes.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("component_id"))
     of_nodes = found.join(least, "component").select("node", "component_id")
     component = F.coalesce("component_id", "rep", "doc_id")
