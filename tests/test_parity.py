@@ -21,6 +21,10 @@ COMPOSED = [
     "validate_row_flags",
     "validate_batch_summary",
     "validation_rule_engine",
+    "rule_conditions",
+    "csv_line_breaks",
+    "superseded_totals",
+    "repaired_rows",
     "quarantine_split",
     "agg_sales",
     "feature_store",
