@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from monthline import schemas
 from monthline.operators.validation import validate, validation_log_rows
 from monthline.plans.layout import Layout
+from monthline.session import freeze
 from monthline.sources.file_list import FILE, FILE_FIELDS, list_files, not_in, readable, superseded
 from monthline.sources.sales_csv import REJECTED_LINE, no_lines, scan_lines, with_load_ts
 from monthline.sources.tables import BATCH, append_log, read_log, read_table, with_log_id
@@ -73,7 +74,7 @@ def land_files(
     )
     # The versions that were read; of files without a line, the listed ones.
     written = read_table(spark, f"{layout.landing}/{BATCH}={batch}", _LANDING, layout.landing, missing_ok=True)
-    read = written.select(*FILE).distinct()
+    read = freeze(written.select(*FILE).distinct())
     lineless = files.filter(F.col("file_path").isin(paths)).join(read.select("file_path"), "file_path", "left_anti") if paths else files.limit(0)
     append_log(read.unionByName(lineless), layout.landed_files, batch)
 
@@ -91,13 +92,14 @@ def raw_sales(spark: SparkSession, layout: Layout, batch: str | None = None) ->
     """Loaded rows of one batch as they came, or the current ones of all.
 
     Rows of files that a later version replaces, and of attempts that did not end, are
-    not current.
+    not current. Lists of batches and files go to the rows, never the rows to the list: by
+    file, they would be dealt to as many tasks as there are files.
     """
     rows = _landing(spark, layout, LOADED, batch)
     if batch is None:
         files = landed_files(spark, layout)
-        rows = rows.join(files.select(BATCH).distinct(), BATCH, "left_semi")
-        rows = not_in(rows, superseded(files))
+        rows = rows.join(F.broadcast(files.select(BATCH).distinct()), BATCH, "left_semi")
+        rows = rows.join(F.broadcast(superseded(files).select(*FILE).distinct()), list(FILE), "left_anti")
     return rows.select(*schemas.RAW_SALES.names)
 
 

@@ -102,12 +102,14 @@ def aggregate_pending(spark: SparkSession, layout: Layout, again: str | None = N
     pending = landed.join(done, BATCH, "left_anti")
     units = superseded_files(spark, layout).withColumnRenamed(BATCH, _TAKEN_BATCH)
     replaced = units.join(_taken_back(spark, layout), _UNIT, "left_anti")
-    any_replaced = not replaced.isEmpty()
-    if not any_replaced and pending.isEmpty():
+    # Names of batches go to the driver, which lists their folders: no other folder is read.
+    taken = [row[_TAKEN_BATCH] for row in replaced.select(_TAKEN_BATCH).distinct().collect()]
+    names = sorted(row[BATCH] for row in pending.collect())
+    if not taken and not names:
         return
-    parts = _own_parts(rows, pending)
-    if any_replaced:
-        parts = parts.unionByName(_negative_parts(rows, replaced))
+    parts = _own_parts(rows, names)
+    if taken:
+        parts = parts.unionByName(_negative_parts(rows.filter(F.col(BATCH).isin(taken)), replaced))
     replace_partitions(parts, layout.agg_parts, BATCH)
 
 
@@ -116,15 +118,16 @@ def _empty_totals() -> dict:
     return {name: F.lit(0 if name in ("total_sales", "transaction_count") else None).cast(kind) for name, kind in kinds.items()}
 
 
-def _own_parts(rows: DataFrame, pending: DataFrame) -> DataFrame:
-    totals = agg_by(rows.join(pending, BATCH, "left_semi"), [BATCH])
-    marks = pending.withColumns(_empty_totals())
+def _own_parts(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    totals = agg_by(rows.filter(F.col(BATCH).isin(list(names))), [BATCH])
+    listed = F.array(*[F.lit(name) for name in names]).cast("array<string>")
+    marks = rows.sparkSession.range(1).select(F.explode(listed).alias(BATCH)).withColumns(_empty_totals())
     units = {f.name: F.lit(None).cast(f.dataType) for f in _UNIT_FIELDS}
     return totals.unionByName(marks).withColumns(units).select(*_WITH_BATCH.names)
 
 
 def _negative_parts(rows: DataFrame, replaced: DataFrame) -> DataFrame:
-    of_files = rows.withColumnRenamed(BATCH, _TAKEN_BATCH).join(replaced, _UNIT, "left_semi")
+    of_files = rows.withColumnRenamed(BATCH, _TAKEN_BATCH).join(F.broadcast(replaced), _UNIT, "left_semi")
     totals = agg_by(of_files, _UNIT)
     negative = totals.withColumns({name: -F.col(name) for name in ("total_sales", "transaction_count")})
     marks = replaced.withColumns(_empty_totals())
