@@ -49,14 +49,16 @@ def tag_lines(lines: DataFrame, null_tokens: Sequence[str] = fixed.NULL_TOKENS)
 
 def multi_line_files(spark: SparkSession, path: str | list[str]) -> list[str]:
     """Listed paths of the files that hold quoted line breaks; one pass that counts quotes."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
     counted = (
         spark.read.text(path)
         .select(F.col("_metadata.file_path").alias("file_path"), quotes.cast("long").alias("quotes"))
+        .filter("quotes % 2 = 1")
         .groupBy("file_path")
-        .agg(F.max(F.col("quotes") % 2).alias("open"), (F.sum("quotes") % 2).alias("unpaired"))
+        .agg(F.count(F.lit(1)).alias("open"))
     )
-    return [row["file_path"] for row in counted.filter("open = 1 and unpaired = 0").select("file_path").collect()]
+    # The quotes of a file pair up when the lines that leave one open are even in number.
+    return [row["file_path"] for row in counted.filter("open % 2 = 0").select("file_path").collect()]
 
 
 def _read(spark: SparkSession, path: str | list[str], null_tokens: Sequence[str], multi_line: bool = False) -> DataFrame:
