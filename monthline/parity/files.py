@@ -199,12 +199,13 @@ def stream_monthly_totals(spark, sf):
 
 @query("stateful_monthly_totals", sql_over("agg_sales", select="SELECT * FROM agg_sales"))
 def stateful_monthly_totals(spark, sf):
-    """Two lots, then the query starts again from its checkpoint for the other two, two files a micro-batch."""
+    """Two lots, then the query starts again from its checkpoint for the other two, as many files a micro-batch as a lot has."""
     out, checkpoint, folder = (scratch_path(spark, name) for name in ("state-out", "state-offsets", "state-in"))
     rows = src.keyed_raw_sales(spark, sf).withColumn("lot", F.col("k") % 4)
+    files = src.files_per_lot(spark, sf, least=2)
     for lots in ((0, 1), (2, 3)):
-        src.place_sales_files(rows.filter(F.col("lot").isin(*lots)), folder, files=2)
-        run_totals_stream(spark, folder, out, checkpoint, max_files=2, max_batches=3)
+        src.place_sales_files(rows.filter(F.col("lot").isin(*lots)), folder, files)
+        run_totals_stream(spark, folder, out, checkpoint, max_files=files, max_batches=3)
     return stream_totals_table(spark, out)
 
 
@@ -249,11 +250,11 @@ def corrected_files(spark, sf) -> Layout:
     """All lots loaded, two of them corrected under the same file names and loaded again, then a load of nothing new."""
     out, folder = scratch_path(spark, "corrected-out"), scratch_path(spark, "corrected-in")
     rows = src.keyed_raw_sales(spark, sf).withColumn("lot", F.col("k") % 4)
-    late = rows.filter("lot >= 2 and k % 5 <> 0")
+    late, files = rows.filter("lot >= 2 and k % 5 <> 0"), src.files_per_lot(spark, sf)
     amount = F.when(F.col("k") % 7 == 0, F.lit("1.00")).otherwise(F.col("net_sales"))
     for batch, sent in (("first", rows), ("corrected", late.withColumn("net_sales", amount)), ("again", None)):
         if sent is not None:
-            src.place_sales_files(sent, folder)
+            src.place_sales_files(sent, folder, files)
         validate_and_load(spark, folder, out, batch, NOW)
         aggregate_pending(spark, Layout(out))
     return Layout(out)
@@ -313,7 +314,7 @@ def files_with_breaks(spark, sf) -> str:
     rows = src.keyed_raw_sales(spark, sf).withColumn("lot", F.col("k") % 4)
     text = F.concat("material_description", F.lit('\nsecond, "line"'))
     broken = F.when((F.col("lot") < 2) & (F.col("k") % 5 == 0), text).otherwise(F.col("material_description"))
-    src.place_sales_files(rows.withColumn("material_description", broken), folder)
+    src.place_sales_files(rows.withColumn("material_description", broken), folder, src.files_per_lot(spark, sf))
     return folder
 
 

@@ -261,14 +261,23 @@ def append_sales_files(rows: DataFrame, path: str, broken: bool = False) -> None
     )
 
 
+#: Rows of a placed file, about.
+FILE_ROWS = 250_000
+
+
+def files_per_lot(spark: SparkSession, sf_dir: str, least: int = 4) -> int:
+    """How many files a lot, a quarter of the line items, is placed in, so that files do not grow with the table."""
+    return max(least, -(-table(spark, sf_dir, "lineitem").count() // (4 * FILE_ROWS)))
+
+
 def place_sales_files(rows: DataFrame, folder: str, files: int = 4) -> None:
     """Write the rows of each lot as files of fixed names, in place of those that are there.
 
-    Line breaks inside fields are quoted.
+    Line breaks inside fields are quoted. A task sorts the rows of a few files.
     """
     spark, staged = rows.sparkSession, scratch_path(rows.sparkSession, "staged-files")
     plain = {"header": True, "quote": '"', "escape": '"', "nullValue": "NULL", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    rows.select(*FIELDS, "lot", F.pmod(F.xxhash64("k"), F.lit(files)).alias("part")).repartition("lot", "part").write.partitionBy("lot", "part").options(**plain).csv(staged)
+    rows.select(*FIELDS, "lot", F.pmod(F.xxhash64("k"), F.lit(files)).alias("part")).repartition(8 * files, "lot", "part").write.partitionBy("lot", "part").options(**plain).csv(staged)
     path = spark._jvm.org.apache.hadoop.fs.Path
     system = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     system.mkdirs(path(folder))

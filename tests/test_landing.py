@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import ordered, rows_of
 from monthline import schemas
+from monthline.parity import inputs
 from monthline.plans import load, totals
 from monthline.plans.layout import Layout
 from monthline.plans.load import landed_files, raw_sales, rejected_lines, superseded_files, validate_and_load
@@ -274,3 +275,48 @@ def test_empty_folder(spark, box):
     assert load_all(spark, box, "one").total_records == 0
     assert sums(spark, box) == []
     assert read_log(spark, Layout(str(box / "out")).agg_parts, schemas.AGG_SALES).count() == 1
+
+
+def test_batches_that_have_totals_are_not_read_again(spark, box):
+    put(box, "a.csv", sale("Apr", 1))
+    load_all(spark, box, "one")
+    assert sums(spark, box) == [("2023-04", 1, 1)]
+    for folder, _, names in os.walk(box / "out" / "raw" / "landing" / "batch=one"):
+        for name in names:
+            if name.endswith(".parquet"):
+                (box / "spoilt").write_bytes(b"no parquet file")
+                os.replace(box / "spoilt", os.path.join(folder, name))
+    put(box, "b.csv", sale("May", 3))
+    load_all(spark, box, "two")
+    assert sums(spark, box) == [("2023-04", 1, 1), ("2023-05", 3, 1)]
+
+
+def test_current_rows_are_not_dealt_out_by_their_file(spark, box):
+    put(box, "a.csv", sale("Apr", 1))
+    load_all(spark, box, "one")
+    put(box, "a.csv", sale("Apr", 2), minute=1)
+    load_all(spark, box, "two")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = raw_sales(spark, Layout(str(box / "out")))
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert ordered(rows, "net_sales") == [("2",)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    joins = [line for line in plan.splitlines() if "Join LeftSemi" in line or "Join LeftAnti" in line]
+    assert joins and all("rightHint=(strategy=broadcast)" in line for line in joins)
+
+
+def test_placed_files_do_not_grow_with_the_table(spark, box, monkeypatch):
+    spark.range(1000).withColumnRenamed("id", "l_orderkey").write.parquet(str(box / "sf" / "lineitem.parquet"))
+    assert inputs.files_per_lot(spark, str(box / "sf")) == 4
+    monkeypatch.setattr(inputs, "FILE_ROWS", 10)
+    files = inputs.files_per_lot(spark, str(box / "sf"))
+    assert files == 25
+    kept = {name: F.lit("x") for name in inputs.FIELDS}
+    rows = spark.range(1000).withColumnRenamed("id", "k").withColumns(kept).withColumn("lot", F.col("k") % 4)
+    for _ in range(2):  # the same names again
+        inputs.place_sales_files(rows, str(box / "in"), files)
+    sizes = [len(f.read_text().splitlines()) - 1 for f in (box / "in").glob("*.csv")]
+    assert sum(sizes) == 1000 and len(sizes) > 90 and max(sizes) <= 40
